@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from driftline.llm import minhash
+from driftline.llm import fmindex, minhash, substring
 
 QUERIES = {
     "op4_near_dedup": minhash.op4_near_dedup,
+    "op5_decontamination": fmindex.op5_decontamination,
+    "op10_substring_dedup": substring.op10_substring_dedup,
 }
 
 #: DuckDB SQL; a query that is missing here is held against a brute-force version in tests/llm.
