@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from driftline.llm import fmindex, minhash, substring
+from driftline.llm import fmindex, minhash, mixing, sketch, substring, tokenstore
 
 QUERIES = {
+    "op2_mixing": mixing.op2_mixing,
     "op4_near_dedup": minhash.op4_near_dedup,
     "op5_decontamination": fmindex.op5_decontamination,
+    "op7_token_store": tokenstore.op7_token_store,
+    "op8_fingerprints": sketch.op8_fingerprints,
     "op10_substring_dedup": substring.op10_substring_dedup,
 }
 
 #: DuckDB SQL; a query that is missing here is held against a brute-force version in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_mixing": mixing.ORACLE_SQL, "op8_fingerprints": sketch.ORACLE_SQL}
