@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from driftline.llm import fmindex, minhash, mixing, sketch, substring, tokenstore
+from driftline.llm import fmindex, minhash, mixing, quality, sketch, substring, tokenstore, toxicity
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op3_quality": quality.op3_quality,
     "op4_near_dedup": minhash.op4_near_dedup,
     "op5_decontamination": fmindex.op5_decontamination,
     "op7_token_store": tokenstore.op7_token_store,
     "op8_fingerprints": sketch.op8_fingerprints,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_substring_dedup": substring.op10_substring_dedup,
 }
 
