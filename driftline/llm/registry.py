@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from driftline.llm import fmindex, minhash, mixing, quality, sketch, substring, tokenstore, toxicity
+from driftline.llm import fmindex, htmlcrf, minhash, mixing, pii, quality, sketch, substring, tokenstore, toxicity
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_mixing": mixing.op2_mixing,
     "op3_quality": quality.op3_quality,
     "op4_near_dedup": minhash.op4_near_dedup,
     "op5_decontamination": fmindex.op5_decontamination,
+    "op6_html_text": htmlcrf.op6_html_text,
     "op7_token_store": tokenstore.op7_token_store,
     "op8_fingerprints": sketch.op8_fingerprints,
     "op9_toxicity": toxicity.op9_toxicity,
