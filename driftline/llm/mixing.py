@@ -77,16 +77,21 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """docs with every row as often as the mix takes it."""
-    got = mix(docs).groupBy("doc_id", "source", "tie").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
-    got = got.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("tie").alias("_t"), "copies", "rows")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & F.col("source").cast("string").eqNullSafe(F.col("_s")) & (F.xxhash64("text") == F.col("_t"))
-    # rows that are equal in doc_id, source and text share their copies evenly, the first of them taking what is over
+    """docs with every row as often as the mix takes it, all columns kept."""
+    own = "_"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    got = mix(docs).groupBy("doc_id", "source", "tie").agg(F.sum("copies").alias(f"{own}copies"), F.count(F.lit(1)).alias(f"{own}rows"))
+    got = got.withColumnsRenamed({c: own + c for c in ("doc_id", "source", "tie")}).where(F.col(f"{own}copies") > 0)
+    got = store.settle(got, "copies")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(f"{own}doc_id")) & docs["source"].cast("string").eqNullSafe(F.col(f"{own}source")) & (F.xxhash64(docs["text"]) == F.col(f"{own}tie"))
     joined = docs.join(got, same)
-    many = F.row_number().over(Window.partitionBy("_d", "_s", "_t").orderBy(F.lit(0)))
-    share = F.when(F.col("rows") == 1, F.col("copies")).otherwise(F.floor(F.col("copies") / F.col("rows")) + (many <= F.col("copies") % F.col("rows")).cast("long"))
-    joined = joined.withColumn("_share", share).where("_share > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_share")))).select(*docs.columns)
+    copies, rows = F.col(f"{own}copies"), F.col(f"{own}rows")
+    if got.where(rows > 1).take(1):
+        # rows that are equal in doc_id, source and text share their copies evenly, the first of them taking what is over
+        place = F.row_number().over(Window.partitionBy(f"{own}doc_id", f"{own}source", f"{own}tie").orderBy(F.lit(0)))
+        joined = joined.withColumn(f"{own}copies", F.floor(copies / rows) + (place <= copies % rows).cast("long")).where(copies > 0)
+    return joined.withColumn(f"{own}each", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*(docs[c] for c in docs.columns))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftline.llm import fmindex, htmlcrf, minhash, mixing, pii, quality, sketch, substring, tokenstore, toxicity
+from driftline.llm import fmindex, htmlcrf, minhash, mixing, pii, quality, sketch, sql, substring, tokenstore, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -18,4 +18,10 @@ QUERIES = {
 }
 
 #: DuckDB SQL; a query that is missing here is held against a brute-force version in tests/llm.
-ORACLE: dict[str, str] = {"op2_mixing": mixing.ORACLE_SQL, "op8_fingerprints": sketch.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE_SQL,
+    "op4_near_dedup": sql.NEAR_DEDUP,
+    "op5_decontamination": sql.DECONTAMINATION,
+    "op8_fingerprints": sketch.ORACLE_SQL,
+    "op10_substring_dedup": sql.SUBSTRING,
+}
