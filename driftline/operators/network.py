@@ -36,3 +36,32 @@ def connectivity(edges: DataFrame, snapped: DataFrame) -> DataFrame:
     """borough, stations, connected: of each area's stations those whose vertex is in the largest component. snapped: sid, vertex, borough."""
     inside = graph.largest(graph.components(edges, "source", "target")).select(F.col("node").alias("vertex"), F.lit(1).alias("in"))
     return snapped.join(inside, "vertex", "left").groupBy("borough").agg(F.count(F.lit(1)).alias("stations"), F.count("in").alias("connected"))
+
+
+def areas_gate(edges: DataFrame, snapped: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """Required areas of which no station's vertex is in the largest component: a hard gate wants none."""
+    spark = edges.sparkSession
+    got = connectivity(edges, snapped).where("connected > 0").select("borough")
+    return spark.createDataFrame([(r,) for r in required], "borough string").join(got, "borough", "left_anti")
+
+
+def named(lines: DataFrame, name: str, patterns: tuple[str, ...]) -> DataFrame:
+    """pattern, segments: how many names hold each pattern (a regular expression, case ignored), zero included."""
+    up = F.upper(F.coalesce(F.col(name), F.lit("")))
+    sums = lines.agg(*(F.sum(F.when(up.rlike(p), 1).otherwise(0)).alias(f"p{i}") for i, p in enumerate(patterns)))
+    rows = F.array(*(F.struct(F.lit(p).alias("pattern"), F.coalesce(f"p{i}", F.lit(0)).cast("long").alias("segments")) for i, p in enumerate(patterns)))
+    return sums.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def routing_metrics(routes: DataFrame, on_edges: DataFrame, st: DataFrame, pairs: DataFrame, parts: tuple[str, ...] = Settings.keywords) -> DataFrame:
+    """One row: routes, routed trips, largest flow, routes between different areas, trips over named structures."""
+    from driftline.operators.flows import keyword_trips
+
+    a, b = (st.select(F.col("sid").alias(f"{w}_sid"), F.col("borough").alias(f"{w}_borough")) for w in ("start", "end"))
+    across = routes.join(pairs.select("od_id", "start_sid", "end_sid"), "od_id").join(a, "start_sid").join(b, "end_sid")
+    return (
+        routes.agg(F.count(F.lit(1)).alias("routes"), F.coalesce(F.sum("trip_count"), F.lit(0)).alias("trips"))
+        .crossJoin(on_edges.agg(F.max("total_trips").alias("largest_flow")))
+        .crossJoin(across.agg(F.coalesce(F.sum(F.when(F.col("start_borough") != F.col("end_borough"), 1)), F.lit(0)).alias("across_areas")))
+        .crossJoin(keyword_trips(on_edges, "street_name", parts).select(F.col("trips").alias("structure_trips")))
+    )

@@ -236,3 +236,18 @@ def test_pages_and_tops(spark):
 
 def test_settings_from_env():
     assert Settings.from_env({"N_OD_PAIRS": "7", "SNAP_CAP_M": ""}) == Settings(n_od_pairs=7)
+
+
+def test_names_and_area_gate(spark):
+    edges = spark.createDataFrame([(1, 10, 11, "Old BRIDGE"), (2, 11, 12, None), (3, 20, 21, "Way")], "id long, source long, target long, street_name string")
+    assert {tuple(r) for r in network.named(edges, "street_name", ("(BRIDGE|BRG)", "TUNNEL")).collect()} == {("(BRIDGE|BRG)", 1), ("TUNNEL", 0)}
+    snapped = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, None, "c")], "sid long, vertex long, borough string")
+    assert sorted(r[0] for r in network.areas_gate(edges, snapped, ("a", "b", "d")).collect()) == ["b", "d"]
+
+
+def test_tiles(spark):
+    from driftline.sources import tiles
+
+    df = spark.createDataFrame([(1, [(-74.0, 40.7), (-73.9, 40.7), (-74.0, 40.7)])], f"id long, geom {geo.LINE}")
+    got = {(r.zoom, r.tx, r.ty) for r in tiles.by_tile(df, "geom", (0, 12)).collect()}
+    assert got == {(0, 0, 0), (12, 1206, 1539), (12, 1207, 1539)}
