@@ -156,11 +156,6 @@ def figures(text: str, linked: int) -> list[str]:
 def inputs(page: str) -> tuple[list[str], list[list[str]]]:
     found = blocks(page)
     marks = [[*("^" + a for a in path), *figures(text, linked)] for text, path, linked in found]
-    for k, own in enumerate(marks):
-        if k == 0:
-            own.append("first")
-        if k == len(marks) - 1:
-            own.append("last")
     return [t for t, _, _ in found], marks
 
 
