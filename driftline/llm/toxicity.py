@@ -10,7 +10,7 @@ doc_id), so that a later model meets odds as good as those it will be given; aft
 training rows. At most ``MOST_ROWS`` labelled rows, those with the smallest hash of the id, are used; the words are chosen there by
 chi-squared for either label, at least ``LEAST_DOCS`` documents holding them.
 
-Null or empty texts have no words and zeros for figures. A doc_id that is labelled twice counts once, with its larger
+Null texts and texts without words have the probability 0 of everything. A doc_id that is labelled twice counts once, with its larger
 labels; null labels count as not given. Where a category has no examples of either kind its probability is their share,
 or 0 without labels, so nothing is toxic. An empty table gives an empty result; other columns are ignored, and
 kept by ``clean``.
@@ -104,7 +104,7 @@ def logistic(x: Rows, y: np.ndarray, penalty: float = 0.3, steps: int = 150) ->
 def fit(held: list[list[int]], figures: np.ndarray, labels: dict[str, np.ndarray], fold: np.ndarray, width: int) -> dict:
     """The chain, in the order of ``labels``. Presence columns count ``width``."""
     mean, scale = (figures.mean(0), figures.std(0) + 1e-9) if len(figures) else (np.zeros(figures.shape[1]), np.ones(figures.shape[1]))
-    dense = (figures - mean) / scale
+    dense = np.clip((figures - mean) / scale, -3, 3)
     x, chain = Rows(held, dense, width), []
     for name, y in labels.items():
         chain.append((name, *logistic(x.take(np.ones(x.n, bool), dense), y)))
@@ -119,7 +119,7 @@ def fit(held: list[list[int]], figures: np.ndarray, labels: dict[str, np.ndarray
 
 
 def predict(model: dict, held: list[list[int]], figures: np.ndarray) -> dict[str, np.ndarray]:
-    x, out = Rows(held, (figures - model["mean"]) / model["scale"], model["width"]), {}
+    x, out = Rows(held, np.clip((figures - model["mean"]) / model["scale"], -3, 3), model["width"]), {}
     for name, w, b in model["chain"]:
         odds = x.dot(w) + b
         out[name] = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
@@ -172,7 +172,11 @@ def _predict(model, names, keep):
         known = _Known(m["places"])
         for b in (s for x in it for s in words.batches([x])):
             text = b.column(names.index("text")).cast(pa.string())
-            p = predict(m, sparse(text.to_pylist(), known), textstats.features(words.blobs(text)))
+            texts = text.to_pylist()
+            p = predict(m, sparse(texts, known), textstats.features(words.blobs(text)))
+            none = np.array([_WORD.search(t or "") is None for t in texts], bool)
+            for own in p.values():
+                own[none] = 0
             if keep:
                 yield b.filter(pa.array(p["toxic"] < LEAST))
             else:
