@@ -11,11 +11,11 @@ nothing, and its component_id is null. An empty table gives an empty result. Oth
 Plan. (1) One scan gives each document its set size, a 128-bit key of the set, and 128 minima of universal hashes.
 (2) Equal sets become one class, named by its smallest doc_id, so copies never meet in pairs. (3) The 32 bands of four
 minima of each class are dealt by band key. In a bucket of at most ``SMALL`` classes each pair is a candidate (at most
-SMALL / 2 a row). In a larger one, which may be a group of near copies as large as the corpus, each class is compared
-with one centre a round, and the centre changes from round to round; classes that are already connected to the centre
-are passed over, and rounds go on until no further link is found in two successive ones. So pairs never grow with the square of a bucket. (4) Candidates
-whose signatures agree in under ``AGREE`` of the places are dropped (a pair at 0.75 fails this about once in 10^7), and
-the others are confirmed on full sets, in blocks around their centre. (5) Links become components by alternating
+SMALL / 2 a row). In a larger one, which may be a group of near copies as large as the corpus, each class is first compared
+with two centres; what is then outside a bucket's largest component is compared with the rest of the bucket, signature by
+signature in blocks, so no pair in different components is passed over, and those already connected cost nothing. (4) Candidates
+whose signatures agree in under ``AGREE`` of the places are dropped (a pair at 0.75 fails this about once in 10^5; it shares
+no band about once in 2 * 10^5), and the others are confirmed on full sets, in blocks around one of the two. (5) Links become components by alternating
 large-star and small-star steps, each settled in the shared checkpoint folder.
 """
 
@@ -32,8 +32,9 @@ from driftline.llm import store, words
 ROWS, BANDS, WIDTH = 4, 32, 5
 MINIMA = ROWS * BANDS
 SMALL = 12
-AGREE = 0.55
+AGREE = 0.58
 BLOCK = 48
+SIDE = 512
 #: Numerator and denominator of the least similarity of a link.
 LEAST = (75, 100)
 
@@ -125,32 +126,68 @@ def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": got["a"].astype("int64"), "b": got["b"].astype("int64")})
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose full sets are similar enough. texts: doc_id and text (binary), one row a class."""
+def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Those pairs (a, b) whose signatures agree in AGREE of the places."""
     left, right = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
-    likely = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long")
+
+
+def _blocks_agree(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one block of minor classes and one of a bucket's classes: the pairs in different components that agree."""
+    minor, other = pdf[pdf["role"] == 0], pdf[pdf["role"] == 1]
+    if not len(minor) or not len(other):
+        return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+    x, y = (np.stack([np.frombuffer(v, np.uint32) for v in d["sig"]]) for d in (minor, other))
+    ids, cx = other["rep"].to_numpy(), other["component"].to_numpy()
+    a, b = [], []
+    for own, rep, component in zip(x, minor["rep"], minor["component"], strict=True):
+        hit = ids[((y == own).mean(1) >= AGREE) & (cx != component)]
+        a += np.minimum(hit, rep).tolist()
+        b += np.maximum(hit, rep).tolist()
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def _across(crowded: DataFrame, found: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs of classes that share a crowded bucket, lie in different components, and agree in AGREE of the places.
+
+    Only what is outside a bucket's largest component is compared, with the rest of the bucket: signature by signature,
+    in blocks of SIDE by SIDE, so that a task holds two blocks and only pairs that agree leave it.
+    """
+    label = crowded.select("band", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
+    label = store.settle(label, "label")
+    parts = label.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    split = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    split = split.select("band", F.col("top.component").alias("top"), F.ceil(F.col("all") / SIDE).alias("others"), F.ceil((F.col("all") - F.col("top.n")) / SIDE).alias("minors"))
+    rows = label.join(split, "band").join(reps.select("rep", "sig"), "rep")
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    one = lambda n: F.array(F.pmod(F.xxhash64("rep"), F.col(n)))
+    dealt = lambda role, i, j: F.struct(F.lit(role).alias("role"), i.alias("i"), j.alias("j"))
+    minor = rows.where("component <> top").select("band", "rep", "component", "sig", F.explode(F.array(dealt(0, one("minors"), every("others")))).alias("d"))
+    other = rows.select("band", "rep", "component", "sig", F.explode(F.array(dealt(1, every("minors"), one("others")))).alias("d"))
+    both = minor.unionByName(other).select("band", "rep", "component", "sig", "d.role", F.explode("d.i").alias("i"), "d.j").select("band", "rep", "component", "sig", "role", "i", F.explode("j").alias("j"))
+    return both.groupBy("band", "i", "j").applyInPandas(_blocks_agree, "a long, b long").distinct()
+
+
+def confirmed(likely: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those pairs (a, b), settled, whose full sets are similar enough. texts: rep and text, one row a class."""
     likely = store.settle(likely, "likely")
-    sizes = likely.groupBy("a").agg(F.count(F.lit(1)).alias("c"))
     # the members of one centre are dealt into blocks of about BLOCK; the centre's text goes to each of its blocks once
-    cut = likely.join(sizes, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / BLOCK)))
-    cores = sizes.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("c") / BLOCK) - 1)).alias("block"))
-    texts = texts.withColumnRenamed("doc_id", "id")
-    rows = cores.select("a", F.col("a").alias("b"), "block", F.lit(0).alias("role"), F.col("a").alias("id")).unionByName(
-        cut.select("a", "b", "block", F.lit(1).alias("role"), F.col("b").alias("id"))
-    )
-    with_text = rows.join(texts, "id").select("a", "b", "block", "role", "text")
-    return with_text.groupBy("a", "block").applyInPandas(_confirm, "a long, b long")
+    sizes = likely.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    members = likely.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), F.lit(1).alias("role"), F.col("b").alias("rep"))
+    cores = sizes.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("role"), F.col("a").alias("rep"))
+    with_text = cores.unionByName(members).join(texts, "rep").select("a", "b", "block", "role", "text")
+    return store.settle(with_text.groupBy("a", "block").applyInPandas(_confirm, "a long, b long"), "confirmed")
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, component (smallest reachable node) of each node of the links (a, b); alternating large and small stars.
 
     Every step is settled; a hot node's links are read through equi-joins that can be split, its minimum is
-    pre-aggregated, and no node's links are gathered in one row.
+    pre-aggregated, and no node's links are gathered in one row. It ends when each node has one link, to a node that
+    has none to a smaller one.
     """
     edges = store.settle(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    seen = None
-    while True:
+    while not _stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -158,60 +195,49 @@ def components(links: DataFrame) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
         edges = store.settle(small, "small")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == seen:
-            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-        seen = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _pairs(left, right):
-    return F.greatest(left, right).alias("b"), F.least(left, right).alias("a")
+def _stars(edges: DataFrame) -> bool:
+    """Whether no node has two links to smaller ones, or one to a node that has such a link itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(edges.select("v", F.lit(0), F.lit(1)))
+    odd = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 or down = 1 and up = 1")
+    return not odd.take(1)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text); see the module."""
     all_ = store.settle(sketches(docs), "sketches")
-    known = all_.where("key is not null and doc_id is not null")
-    classes = known.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    reps = store.settle(known.join(classes, "key").where("doc_id = rep").groupBy("rep").agg(F.min(F.struct("sig", "key")).alias("x")).select("rep", "x.sig", "x.key"), "reps")
+    classes = all_.where("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("rep"), "sig")).alias("x"))
+    reps = store.settle(classes.select("key", "x.rep", "x.sig"), "classes")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring(F.col("sig"), i * (4 * ROWS) + 1, F.lit(4 * ROWS)), i))
     rows = reps.select("rep", F.explode(band).alias("band"))
-    stats = rows.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("low")).where("c > 1")
-    buckets = store.settle(rows.join(stats, "band"), "buckets")  # rows that share a bucket with another class
+    sizes = rows.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    buckets = store.settle(rows.join(sizes, "band"), "buckets")  # rows that share a bucket with another class
     few = buckets.where(F.col("c") <= SMALL).groupBy("band").agg(F.sort_array(F.collect_set("rep")).alias("r"))  # at most SMALL a row
     few = few.select(F.explode(F.flatten(F.transform("r", lambda x, i: F.transform(F.slice("r", i + 2, F.lit(SMALL)), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
-    many = buckets.where(F.col("c") > SMALL)
-    pairs = few.union(many.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))).distinct()
-    one = reps.select(F.col("rep").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    links = store.settle(confirmed(pairs, reps, _class_texts(texts, one)), "confirmed")
-    quiet, step = 0, 0
+    # a class that shares large buckets is like many others, and so a good centre
+    crowded = buckets.where(F.col("c") > SMALL)
+    weight = crowded.groupBy("rep").agg(F.sum("c").alias("w"))
+    crowded = store.settle(crowded.join(weight, "rep"), "crowded")
+    first = lambda *by: F.min(F.struct(*by, "rep"))["rep"]
+    centres = crowded.groupBy("band").agg(F.array(first(-F.col("w")), first(F.xxhash64("rep"))).alias("centres"))
+    tried = crowded.join(centres, "band").select("rep", F.explode("centres").alias("to")).where("rep <> to").select(*_pair("rep", "to"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
+    texts = store.settle(texts.join(buckets.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text")), "texts")
+    links = confirmed(alike(few.union(tried).distinct(), reps), texts)
     found = components(links)
-    crowded = store.settle(many.select("band", "rep"), "crowded")
-    busy = crowded.limit(1).count() > 0
-    while busy and quiet < 2:
-        step += 1
-        label = crowded.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        # a centre for each bucket and round: the class whose hash with the round is smallest
-        centre = label.groupBy("band").agg(
-            F.min(F.struct(F.xxhash64("rep", F.lit(step)).alias("h"), F.col("rep").alias("c"), F.col("component").alias("cc"))).alias("x"), F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where("lo <> hi").select("band", "x.c", "x.cc")
-        tried = label.join(centre, "band").where("component <> cc").select(*_pairs("rep", "c")).select("a", "b").distinct()
-        more = store.settle(confirmed(tried, reps, _class_texts(texts, one)), "confirmed")
-        if more.limit(1).count():
-            quiet, links = 0, links.union(more)
-            found = components(links)
-        else:
-            quiet += 1
-    labels = classes.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
+    more = confirmed(_across(crowded, found, reps), texts)
+    if more.take(1):
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    labels = reps.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
     out = all_.select("doc_id", "n", "key").join(labels, "key", "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
-def _class_texts(texts: DataFrame, reps: DataFrame) -> DataFrame:
-    """The text of each class's document; of rows that share a doc_id the smallest text."""
-    return texts.join(reps.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+def _pair(left: str, right: str):
+    return F.least(left, right).alias("a"), F.greatest(left, right).alias("b")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,5 +246,5 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays; rows without id or words stay."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
