@@ -38,12 +38,12 @@ from driftline.llm import store, words
 
 END = 2
 ROLL, LOW_BITS, LEAST, MOST = 16, 9, 128, 4096
-#: Pieces whose ids a worker remembers.
-MEMO = 500_000
+#: Pieces whose ids a worker remembers, in each of two generations.
+MEMO = 400_000
 
 _P = np.array([0x9E3779B97F4A7C15], np.uint64)
 _ready: dict[str, tuple] = {}
-_memo: dict[str, bytes] = {}
+_memo: list[dict[str, bytes]] = [{}, {}]
 
 
 def _tokenizer(path: str):
@@ -53,33 +53,71 @@ def _tokenizer(path: str):
 
         t = Tokenizer.from_file(path)
         _ready.clear()
-        _memo.clear()
+        _memo[:] = {}, {}
         _ready[path] = t, np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
     return _ready[path]
 
 
+def _direct(texts: list[str], t, kind) -> list[bytes]:
+    return [np.array(e.ids, kind).tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _spaced_words(found: list[str], t, kind, group: int = 2000) -> list[bytes]:
+    """Ids of " " + each word of letters. A space and letters are one pre-token, so many words are encoded as one text and
+    told apart by the numbers of their pre-tokens; a group that counts otherwise is encoded word by word."""
+    out: list[bytes] = []
+    groups = [found[i : i + group] for i in range(0, len(found), group)]
+    for own, e in zip(groups, t.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        numbers = e.word_ids
+        if numbers and None not in numbers and numbers[-1] == len(own) - 1:
+            ids, size = np.array(e.ids, kind).tobytes(), kind.itemsize
+            cut = (np.searchsorted(np.array(numbers), np.arange(len(own) + 1)) * size).tolist()
+            out += [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+        else:
+            out += _direct([" " + w for w in own], t, kind)
+    return out
+
+
 def _piece_ids(pieces: list[str], t, kind) -> list[bytes]:
-    """Ids of each piece. A piece of letters and one final mark is looked up as its two parts."""
-    if len(_memo) > MEMO:
-        _memo.clear()
-    get = _memo.get
-    out = [get(p) for p in pieces]
-    todo, split = {}, []
+    """Ids of a space and each piece. A piece of letters and one final mark is looked up as its two parts.
+
+    What a full memo held is still found, and kept on, while the next one fills, so frequent pieces stay.
+    """
+    if len(_memo[0]) > MEMO:
+        _memo[:] = {}, _memo[0]
+    new, old = _memo
+    out = list(map(new.get, pieces))
+    letters: dict[str, None] = {}
+    others: dict[str, None] = {}
+    split, whole = [], []
     for i, x in enumerate(out):
         if x is None:
             p = pieces[i]
-            if len(p) > 2 and p[-1] in ".," and p[:-1].strip(" ").isascii() and p[:-1].lstrip(" ").isalpha():
+            x = old.get(p)
+            if x is not None:
+                new[p] = out[i] = x
+            elif p.isalpha():
+                whole.append(i)
+                letters[p] = None
+            elif p[-1:] in (".", ",") and p[:-1].isalpha():
                 split.append(i)
-                todo[p[:-1]] = todo[p[-1]] = None
+                if p[:-1] not in new:
+                    if p[:-1] in old:
+                        new[p[:-1]] = old[p[:-1]]
+                    else:
+                        letters[p[:-1]] = None
             else:
-                todo[p] = None
-    new = [p for p in todo if p not in _memo]
-    for p, e in zip(new, t.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        _memo[p] = np.array(e.ids, kind).tobytes()
+                whole.append(i)
+                others[p] = None
+    new.update(zip(letters, _spaced_words(list(letters), t, kind), strict=True))
+    new.update(zip(others, _direct([" " + p for p in others], t, kind), strict=True))
+    marks = dict(zip(".,", _direct([".", ","], t, kind), strict=True))
+    for i in whole:
+        out[i] = new[pieces[i]]
     for i in split:
         p = pieces[i]
-        _memo[p] = _memo[p[:-1]] + _memo[p[-1]]
-    return [x if x is not None else _memo[pieces[i]] for i, x in enumerate(out)]
+        out[i] = new[p] = new[p[:-1]] + marks[p[-1]]
+    return out
 
 
 def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -98,13 +136,12 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     per_doc = np.add.reduceat(odd[place], off[:-1]) if len(place) else np.zeros(0, int)
     lead = np.flatnonzero(first)
     heads = [names[i] for i in place[lead]]  # the first piece of a text has no space before it
-    ids = _piece_ids([" " + p for p in names], t, kind) if len(names) else []
-    ids += _piece_ids(heads, t, kind)
+    ids = _piece_ids(names, t, kind) + _direct(heads, t, kind)
     place[lead] = len(names) + np.arange(len(lead))
     slow = np.flatnonzero(per_doc > 0)
     if len(slow):
         rows = texts.take(pa.array(slow)).to_pylist()
-        whole = [np.array(e.ids, kind).tobytes() for e in t.encode_batch_fast(rows, add_special_tokens=False)]
+        whole = _direct(rows, t, kind)
         place[np.concatenate([np.arange(off[i], off[i + 1]) for i in slow])] = len(ids)
         place[off[slow]] = len(ids) + 1 + np.arange(len(slow))
         ids += [b"", *whole]
@@ -178,7 +215,7 @@ def _encode(path: str):
 
         squeeze = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False, write_dict_id=False)
         seen: set[bytes] = set()
-        for b in (s for x in it for s in words.batches([x], 8 << 20)):
+        for b in (s for x in it for s in words.batches([x], 16 << 20)):
             ids, off = encode(b.column(1), path)
             texts = words.blobs(b.column(1))
             hashes, lens, names, blobs, sizes = [], [], [], [], []
