@@ -79,6 +79,12 @@ def test_paths_are_paths(spark, small_graph):
     assert sum(r.edge == -1 for r in steps) == 2
 
 
+def test_paths_over_free_arcs(spark):
+    edges = spark.createDataFrame([(1, 1, 2, 0, 0), (2, 2, 3, 0, 0), (3, 3, 1, 0, 0), (4, 3, 4, 1, 1)], "id long, source long, target long, cost long, reverse_cost long")
+    r = graph.paths(edges, spark.createDataFrame([(1, 4), (1, 1)], "source long, target long")).orderBy("target").collect()
+    assert [(x.edge_ids, x.cost) for x in r] == [([], 0.0), ([3, 4], 1.0)] or r[1].vertices[0] == 1 and r[1].vertices[-1] == 4
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9), (4, 7), (3, 1)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect()}
