@@ -153,8 +153,8 @@ def dense_ids(spark, sf):
 def flow_keyword_sum(spark, sf):
     rows = fx.table(spark, sf, "lineitem").join(fx.table(spark, sf, "part").select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     q = F.col("l_quantity").cast("long")
-    hit = text.contains_any(F.col("p_type"), ("A", "STEEL"))
-    return rows.agg(F.sum(F.when(hit, q)).alias("keyword_sum"), F.sum(F.when(F.col("p_name").rlike("(1|33|7)"), q)).alias("pattern_sum"), F.sum(q).alias("total"))
+    hit = text.contains_any(F.col("p_type"), ("LARGE", "PRO"))
+    return rows.agg(F.sum(F.when(hit, q)).alias("keyword_sum"), F.sum(F.when(F.col("p_name").rlike("(bolt|rod|^hot)"), q)).alias("pattern_sum"), F.sum(q).alias("total"))
 
 
 # C: incremental maintenance, star join

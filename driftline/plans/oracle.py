@@ -103,8 +103,8 @@ select percent, cast(count(*) filter (where cum * 100 <= percent * total) + 1 as
   union all select 'repeated rides', count(*), 'should be 0' from (select ride_id from raw group by 1 having count(*) > 1)
   union all select 'unknown ends', count(*), 'should be 0' from raw where end_sid is not null and end_sid not in (select id from points where id < 100)""",
     "dense_ids": f"with {_OD} select od_id, start_sid, end_sid, dense_rank() over (order by start_sid) as start_rank from od",
-    "flow_keyword_sum": """select cast(sum(case when upper(p_type) like '%A%' or upper(p_type) like '%STEEL%' then cast(l_quantity as bigint) end) as bigint) as keyword_sum,
-  cast(sum(case when regexp_matches(p_name, '(1|33|7)') then cast(l_quantity as bigint) end) as bigint) as pattern_sum, cast(sum(cast(l_quantity as bigint)) as bigint) as total from lineitem join part on l_partkey = p_partkey""",
+    "flow_keyword_sum": """select cast(sum(case when upper(p_type) like '%LARGE%' or upper(p_type) like '%PRO%' then cast(l_quantity as bigint) end) as bigint) as keyword_sum,
+  cast(sum(case when regexp_matches(p_name, '(bolt|rod|^hot)') then cast(l_quantity as bigint) end) as bigint) as pattern_sum, cast(sum(cast(l_quantity as bigint)) as bigint) as total from lineitem join part on l_partkey = p_partkey""",
     "flow_upsert": f"with {_TRIPS} select start_sid as id, count(*) as total_trips from trips group by 1",
     "route_first_wins": f"""with {_TRIPS} select start_sid || '-' || end_sid as od_id, ride_id, ride_id % 4 as batch from trips where start_sid <> end_sid
   qualify row_number() over (partition by start_sid, end_sid order by ride_id % 4, ride_id) = 1""",
