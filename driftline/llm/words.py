@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 
 #: Entries after which a worker's memo of word hashes starts anew.
-MEMO = 400_000
+MEMO = 120_000
 
 U = np.uint64
 
@@ -62,7 +62,7 @@ def windows(flat: np.ndarray, n: int) -> np.ndarray:
     return done
 
 
-def batches(it, most: int = 8 << 20):
+def batches(it, most: int = 3 << 20):
     """Record batches cut so that each holds about ``most`` bytes, or one row."""
     for b in it:
         start, size = 0, b.nbytes
