@@ -46,6 +46,11 @@ _ready: dict[str, tuple] = {}
 _memo: list[dict[str, bytes]] = [{}, {}]
 
 
+def _forget() -> None:
+    _ready.clear()
+    _memo[:] = {}, {}
+
+
 def _tokenizer(path: str):
     if path not in _ready:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -214,6 +219,7 @@ def _encode(path: str):
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False, write_dict_id=False)
+        words.claim("tokens", _forget)
         seen: set[bytes] = set()
         for b in (s for x in it for s in words.batches([x], 16 << 20)):
             ids, off = encode(b.column(1), path)

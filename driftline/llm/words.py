@@ -37,6 +37,7 @@ def spaced(text: bytes, lower: bool) -> list[bytes]:
 
 def hashes(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of every document in one array, and the n + 1 offsets of the documents in it."""
+    claim("words")
     offsets = np.zeros(len(words) + 1, np.int64)
     np.cumsum([len(w) for w in words], out=offsets[1:])
     flat = np.fromiter(map(_MEMO.__getitem__, chain.from_iterable(words)), U, int(offsets[-1]))
@@ -62,6 +63,21 @@ def windows(flat: np.ndarray, n: int) -> np.ndarray:
     return done
 
 
+_held: dict = {"words": lambda: _MEMO.clear()}
+_last = ["words"]
+
+
+def claim(owner: str, forget=None) -> None:
+    """What a worker remembers between tasks belongs to one operator at a time: at the start of another's task, the others forget."""
+    if forget is not None:
+        _held[owner] = forget
+    if _last[0] != owner:
+        for name, drop in _held.items():
+            if name != owner:
+                drop()
+        _last[0] = owner
+
+
 def batches(it, most: int = 3 << 20):
     """Record batches cut so that each holds about ``most`` bytes, or one row."""
     for b in it:
