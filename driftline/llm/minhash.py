@@ -13,7 +13,8 @@ Plan. (1) One scan gives each document its set size, a 128-bit key of the set, a
 minima of each class are dealt by band key. In a bucket of at most ``SMALL`` classes each pair is a candidate (at most
 SMALL / 2 a row). In a larger one, which may be a group of near copies as large as the corpus, each class is first compared
 with two centres; what is then outside a bucket's largest component is compared with the rest of the bucket, signature by
-signature in blocks, so no pair in different components is passed over, and those already connected cost nothing. (4) Candidates
+signature in blocks, so no pair in different components is passed over, and those already connected cost nothing;
+pairs that agree are confirmed inside the block and only links leave it. (4) Candidates
 whose signatures agree in under ``AGREE`` of the places are dropped (a pair at 0.75 fails this about once in 10^5; it shares
 no band about once in 2 * 10^5), and the others are confirmed on full sets, in blocks around one of the two. (5) Links become components by alternating
 large-star and small-star steps, each settled in the shared checkpoint folder.
@@ -107,21 +108,26 @@ def _agree(it):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array((np.stack(a) == np.stack(c)).mean(1) >= AGREE))
 
 
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets, as ascending arrays, are similar enough for a link."""
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    both = int((large[at] == small).sum())
+    return LEAST[1] * both >= LEAST[0] * (len(x) + len(y) - both)
+
+
 def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rows: centre (b = -1) and members b of one block."""
+    """The links among one block of a centre (role 0) and other classes (role 1)."""
     core = pdf[pdf["role"] == 0]
     rest = pdf[pdf["role"] == 1]
     if not len(core) or not len(rest):
         return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-    hashes, off = shingles([core["text"].iloc[0], *rest["text"]])
+    hashes, off = shingles([x.encode() for x in (core["text"].iloc[0], *rest["text"])])
     centre = np.unique(hashes[: off[1]])
     keep = []
     for i in range(1, len(off) - 1):
         own = np.unique(hashes[off[i] : off[i + 1]])
-        small, large = (own, centre) if len(own) < len(centre) else (centre, own)
-        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-        both = int((large[at] == small).sum())
-        keep.append(LEAST[1] * both >= LEAST[0] * (len(own) + len(centre) - both))
+        keep.append(_linked(own, centre))
     got = rest[np.array(keep, bool)]
     return pd.DataFrame({"a": got["a"].astype("int64"), "b": got["b"].astype("int64")})
 
@@ -132,28 +138,57 @@ def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long")
 
 
-def _blocks_agree(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one block of minor classes and one of a bucket's classes: the pairs in different components that agree."""
+def _near(x: np.ndarray, y: np.ndarray, band: int) -> np.ndarray:
+    """Rows of y whose signatures agree with x in AGREE of the places, and that share no band with it before this one:
+    so each pair is looked at in one bucket only, and not at all if that is a small one."""
+    same = y == x
+    first = same.reshape(len(y), BANDS, ROWS).all(2).argmax(1)
+    return (same.mean(1) >= AGREE) & (first == band)
+
+
+def _grey(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one block of minor classes and one of their bucket's classes: those that agree with one in another component."""
+    minor, other = pdf[pdf["role"] == 0], pdf[pdf["role"] == 1]
+    hit, met = np.zeros(len(minor), bool), np.zeros(len(other), bool)
+    if len(minor) and len(other):
+        y, cy, band = np.stack([np.frombuffer(v, np.uint32) for v in other["sig"]]), other["component"].to_numpy(), int(pdf["b"].iloc[0])
+        for k, (v, component) in enumerate(zip(minor["sig"], minor["component"], strict=True)):
+            near = _near(np.frombuffer(v, np.uint32), y, band) & (cy != component)
+            hit[k] = near.any()
+            met |= near
+    return pd.concat([minor[hit], other[met]])[["band", "b", "i", "j", "role", "rep", "component"]]
+
+
+def _links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The blocks of _grey again, now with texts: one exact link from each minor class to each component that it has
+    links to, the likeliest pairs tried first."""
     minor, other = pdf[pdf["role"] == 0], pdf[pdf["role"] == 1]
-    if not len(minor) or not len(other):
-        return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-    x, y = (np.stack([np.frombuffer(v, np.uint32) for v in d["sig"]]) for d in (minor, other))
-    ids, cx = other["rep"].to_numpy(), other["component"].to_numpy()
     a, b = [], []
-    for own, rep, component in zip(x, minor["rep"], minor["component"], strict=True):
-        hit = ids[((y == own).mean(1) >= AGREE) & (cx != component)]
-        a += np.minimum(hit, rep).tolist()
-        b += np.maximum(hit, rep).tolist()
+    if len(minor) and len(other):
+        hashes, off = shingles([x.encode() for x in (*minor["text"], *other["text"])])
+        sig, sets = minima(hashes, off), [np.unique(hashes[s:e]) for s, e in zip(off, off[1:], strict=False)]
+        n, band = len(minor), int(pdf["b"].iloc[0])
+        ids, cy = other["rep"].to_numpy(), other["component"].to_numpy()
+        for k, (rep, component) in enumerate(zip(minor["rep"], minor["component"], strict=True)):
+            done = {component}
+            near = np.flatnonzero(_near(sig[k], sig[n:], band))
+            for m in near[np.argsort(-(sig[n + near] == sig[k]).sum(1), kind="stable")]:
+                if cy[m] not in done and _linked(sets[k], sets[n + m]):
+                    done.add(cy[m])
+                    a.append(min(rep, ids[m]))
+                    b.append(max(rep, ids[m]))
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def _across(crowded: DataFrame, found: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of classes that share a crowded bucket, lie in different components, and agree in AGREE of the places.
+def _across(crowded: DataFrame, found: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between classes that share a crowded bucket and lie in different components, settled: at least one from a class to each
+    component that it has links to.
 
     Only what is outside a bucket's largest component is compared, with the rest of the bucket: signature by signature,
-    in blocks of SIDE by SIDE, so that a task holds two blocks and only pairs that agree leave it.
+    in blocks of SIDE by SIDE. The classes that agree with another, not their pairs, then go through the same blocks
+    with their texts, and pairs are confirmed there.
     """
-    label = crowded.select("band", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
+    label = crowded.select("band", "b", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("band", "b", "rep", F.coalesce("component", "rep").alias("component"))
     label = store.settle(label, "label")
     parts = label.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     split = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
@@ -161,11 +196,12 @@ def _across(crowded: DataFrame, found: DataFrame, reps: DataFrame) -> DataFrame:
     rows = label.join(split, "band").join(reps.select("rep", "sig"), "rep")
     every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     one = lambda n: F.array(F.pmod(F.xxhash64("rep"), F.col(n)))
-    dealt = lambda role, i, j: F.struct(F.lit(role).alias("role"), i.alias("i"), j.alias("j"))
-    minor = rows.where("component <> top").select("band", "rep", "component", "sig", F.explode(F.array(dealt(0, one("minors"), every("others")))).alias("d"))
-    other = rows.select("band", "rep", "component", "sig", F.explode(F.array(dealt(1, every("minors"), one("others")))).alias("d"))
-    both = minor.unionByName(other).select("band", "rep", "component", "sig", "d.role", F.explode("d.i").alias("i"), "d.j").select("band", "rep", "component", "sig", "role", "i", F.explode("j").alias("j"))
-    return both.groupBy("band", "i", "j").applyInPandas(_blocks_agree, "a long, b long").distinct()
+    dealt = lambda role, i, j: F.transform(i, lambda x: F.struct(F.lit(role).alias("role"), x.alias("i"), j.alias("j")))
+    roles = F.concat(F.when(F.col("component") != F.col("top"), dealt(0, one("minors"), every("others"))).otherwise(F.array()), dealt(1, every("minors"), one("others")))
+    both = rows.select("band", "b", "rep", "component", "sig", F.explode(roles).alias("d")).select("band", "b", "rep", "component", "sig", "d.role", "d.i", F.explode("d.j").alias("j"))
+    kind = "band long, b int, i long, j long, role int, rep long, component long"
+    grey = store.settle(both.groupBy("band", "i", "j").applyInPandas(_grey, kind), "grey")
+    return store.settle(grey.join(texts, "rep").groupBy("band", "i", "j").applyInPandas(_links, "a long, b long").distinct(), "across")
 
 
 def confirmed(likely: DataFrame, texts: DataFrame) -> DataFrame:
@@ -211,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = all_.where("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("rep"), "sig")).alias("x"))
     reps = store.settle(classes.select("key", "x.rep", "x.sig"), "classes")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring(F.col("sig"), i * (4 * ROWS) + 1, F.lit(4 * ROWS)), i))
-    rows = reps.select("rep", F.explode(band).alias("band"))
+    rows = reps.select("rep", F.posexplode(band).alias("b", "band"))
     sizes = rows.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     buckets = store.settle(rows.join(sizes, "band"), "buckets")  # rows that share a bucket with another class
     few = buckets.where(F.col("c") <= SMALL).groupBy("band").agg(F.sort_array(F.collect_set("rep")).alias("r"))  # at most SMALL a row
@@ -227,7 +263,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = store.settle(texts.join(buckets.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text")), "texts")
     links = confirmed(alike(few.union(tried).distinct(), reps), texts)
     found = components(links)
-    more = confirmed(_across(crowded, found, reps), texts)
+    more = _across(crowded, found, reps, texts)
     if more.take(1):
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     labels = reps.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
