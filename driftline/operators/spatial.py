@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions import geo
@@ -78,6 +78,46 @@ def nearest_point(points: DataFrame, key: str, geom: str, targets: DataFrame, ta
         size *= 4
 
 
+def nearest_others(points: DataFrame, key: str, geom: str, k: int) -> DataFrame:
+    """key, target, d2: the k nearest other points of each point (all others if there are fewer); ties go to the smallest key.
+
+    Growing cells as in ``nearest_point``, searched once a distinct position. Of the points of one position only the
+    k + 1 smallest keys can be among the k nearest of any point, so a crowded place costs no more than others.
+    """
+    p = points.select(F.col(key).alias("_k"), F.col(geom)["x"].alias("px"), F.col(geom)["y"].alias("py")).where("px is not null and py is not null")
+    p = cut(p, "points")
+    low = p.withColumn("r", F.row_number().over(Window.partitionBy("px", "py").orderBy("_k"))).where(F.col("r") <= k + 1)
+    t = cut(low.select(F.col("_k").alias("target"), F.col("px").alias("tx"), F.col("py").alias("ty")), "targets")
+    todo = t.select(F.col("tx").alias("px"), F.col("ty").alias("py")).distinct()
+    quarters = lambda c: F.percentile_approx(c, [0.25, 0.75])
+    x0, x1, y0, y1, xs, ys, spots = todo.agg(F.min("px"), F.max("px"), F.min("py"), F.max("py"), quarters("px"), quarters("py"), F.count(F.lit(1))).first()
+    if not spots:
+        return p.select(F.col("_k").alias(key), F.col("_k").alias("target"), F.lit(None).cast("double").alias("d2")).limit(0)
+    need = min(k + 1, t.count())  # a point is among the nearest of its own position
+    width = max(x1 - x0, y1 - y0, 1e-9)
+    middle = max(xs[1] - xs[0], ys[1] - ys[0])  # far points do not widen the first cells
+    size = max((2 * middle or width) / math.sqrt(spots) * 2, width * 1e-9)
+    done = None
+    while True:
+        last = size >= width  # 3 x 3 such cells around any point hold every target
+        around = t.select("*", cell(F.col("tx"), size).alias("tcx"), cell(F.col("ty"), size).alias("tcy"))
+        steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+        mine = todo.withColumn("s", F.explode(steps)).select("px", "py", (cell(F.col("px"), size) + F.col("s.i")).alias("tcx"), (cell(F.col("py"), size) + F.col("s.j")).alias("tcy"))
+        d2 = (F.col("px") - F.col("tx")) * (F.col("px") - F.col("tx")) + (F.col("py") - F.col("ty")) * (F.col("py") - F.col("ty"))
+        near = F.slice(F.array_sort(F.collect_list(F.struct(d2.alias("d2"), "target"))), 1, need)
+        found = mine.join(around, ["tcx", "tcy"]).groupBy("px", "py").agg(near.alias("near"))
+        if not last:
+            found = found.where((F.size("near") == need) & (F.get("near", F.lit(need - 1))["d2"] <= F.lit(size * size)))
+        found = cut(found, "nearest")
+        done = found if done is None else done.unionByName(found)
+        todo = todo if last else cut(todo.join(found, ["px", "py"], "left_anti"), "open")
+        if last or not todo.take(1):
+            break
+        size *= 4
+    others = F.slice(F.filter("near", lambda n: n["target"] != F.col("_k")), 1, k)
+    return p.join(done, ["px", "py"]).select(F.col("_k").alias(key), F.explode(others).alias("n")).select(key, "n.target", "n.d2")
+
+
 def _area_size(areas: DataFrame) -> float:
     """A cell as wide as the mean extent of an area's box."""
     box = geo.bounds(F.flatten("geom"))

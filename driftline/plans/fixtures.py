@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions import geo
 from driftline.operators import clean, spatial, trips
+from driftline.operators.cuts import cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +29,9 @@ def valid_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, label, x, y (whole numbers), geom of the first 500 vectors."""
+    """id, label, x, y (whole numbers), geom of all vectors."""
     at = lambda k: F.round(F.get("embedding", k).cast("double") * 100000).cast("long")
-    rows = table(spark, sf_dir, "embeddings").where("vec_id < 500").select(F.col("vec_id").alias("id"), "label", at(0).alias("x"), at(1).alias("y"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", at(0).alias("x"), at(1).alias("y"))
     return rows.withColumn("geom", geo.point(F.col("x"), F.col("y")))
 
 
@@ -42,16 +43,22 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points(spark, sf_dir).where("id >= 100").select("id", "x", "y", "geom")
 
 
+def _numbered(rows: DataFrame, name: str, *order: str) -> DataFrame:
+    """With ``name``: 1, 2, ... in the given order, which is total. Rows are dealt into ranges; only a count a range meets in one task."""
+    dealt = cut(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn("_r", place).join(F.broadcast(counts), "_part").withColumn(name, (F.col("_r") + F.col("_n")).cast("long")).drop("_part", "_r", "_n")
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, source, target, cost, reverse_cost (closed), geom: from each of the 400 vertices to its four nearest."""
+    """id, source, target, cost, reverse_cost (closed), geom: from each vertex to its four nearest."""
     v = vertices(spark, sf_dir)
-    a, b = v.select(F.col("id").alias("s"), F.col("x").alias("ax"), F.col("y").alias("ay")), v.select(F.col("id").alias("t"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    d2 = (F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by"))
-    near = a.join(F.broadcast(b), F.col("s") != F.col("t")).withColumn("d2", d2)  # 400 rows on either side, at every scale
-    near = near.withColumn("r", F.row_number().over(Window.partitionBy("s").orderBy("d2", "t"))).where("r <= 4")
-    w = F.round(F.sqrt(F.col("d2").cast("double"))).cast("long")
-    line = F.array(geo.point(F.col("ax"), F.col("ay")), geo.point(F.col("bx"), F.col("by")))
-    return near.select(F.row_number().over(Window.orderBy("s", "t")).cast("long").alias("id"), F.col("s").alias("source"), F.col("t").alias("target"), w.alias("cost"), F.lit(-1).cast("long").alias("reverse_cost"), line.alias("geom"))
+    a, b = v.select(F.col("id").alias("s"), F.col("geom").alias("a")), v.select(F.col("id").alias("t"), F.col("geom").alias("b"))
+    near = spatial.nearest_others(v, "id", "geom", 4).select(F.col("id").alias("s"), F.col("target").alias("t"), F.round(F.sqrt("d2")).cast("long").alias("w"))
+    near = _numbered(near.join(a, "s").join(b, "t"), "id", "s", "t")
+    return near.select("id", F.col("s").alias("source"), F.col("t").alias("target"), F.col("w").alias("cost"), F.lit(-1).cast("long").alias("reverse_cost"), F.array("a", "b").alias("geom"))
 
 
 def snapped(spark: SparkSession, sf_dir: str) -> DataFrame:

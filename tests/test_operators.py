@@ -10,7 +10,7 @@ from driftline.config import Settings
 from driftline.functions import geo
 from driftline.operators import clean, flows, gates, graph, network, spatial, timelapse, trips
 from driftline.operators import stations as stations_
-from driftline.plans import pipeline
+from driftline.plans import fixtures, pipeline
 from driftline.sources import readers, sinks
 
 T0 = datetime(2023, 6, 10, 8)
@@ -120,6 +120,29 @@ def test_nearest_point_and_cluster(spark):
     assert {r.id: r.cluster for r in graph.cluster(df(t), "id", "x", "y", 12.0).collect()} == {i: root(i) for i, _, _ in t}
 
 
+def brute_nearest(rows, k):
+    return {(i, j, (x - u) ** 2 + (y - v) ** 2) for i, x, y in rows for j, u, v in sorted((r for r in rows if r[0] != i), key=lambda r: ((x - r[1]) ** 2 + (y - r[2]) ** 2, r[0]))[:k]}
+
+
+def test_nearest_others(spark):
+    rnd = random.Random(8)
+    p = [(i, float(rnd.randrange(300)), float(rnd.randrange(300))) for i in range(150)] + [(150, 9e5, 9e5)] + [(200 + i, 7.0, 7.0) for i in range(40)]
+    for rows in (p, p[:3], p[:1], []):
+        df = spark.createDataFrame(rows, "id long, x double, y double").withColumn("geom", geo.point(F.col("x"), F.col("y")))
+        assert {tuple(r) for r in spatial.nearest_others(df, "id", "geom", 4).collect()} == brute_nearest(rows, 4)
+
+
+def test_graph_of_all_vectors(spark, tmp_path):
+    rnd = random.Random(9)
+    rows = [(i, [rnd.gauss(0, 0.1), rnd.gauss(0, 0.1)], i % 10) for i in range(620)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    at = [(r.id, r.x, r.y) for r in fixtures.points(spark, str(tmp_path)).collect()]
+    assert len(at) == 620
+    want = sorted((i, j, round(d2**0.5)) for i, j, d2 in brute_nearest([r for r in at if r[0] >= 100], 4))
+    got = fixtures.edges(spark, str(tmp_path)).orderBy("id").collect()
+    assert [(r.source, r.target, r.cost) for r in got] == want and [r.id for r in got] == list(range(1, 2081))
+
+
 def test_nearest_line_within_cap(spark):
     lines = spark.createDataFrame([(1, [(0.0, 0.0), (100.0, 0.0)]), (2, [(0.0, 50.0), (0.0, 20.0)]), (3, [(5.0, 5.0)])], f"cl_id long, geom {geo.LINE}")
     pts = spark.createDataFrame([(1, (50.0, 10.0)), (2, (1.0, 30.0)), (3, (500.0, 500.0)), (4, (5.0, 6.0)), (5, (50.0, 30.0))], f"id long, p {geo.POINT}")
