@@ -11,13 +11,13 @@ and maps every word outside the block's vocabulary to one separator; stretches t
 dropped, since no window lies in them. The rest is indexed: suffix array by prefix doubling that refines only tied
 suffixes, Burrows-Wheeler transform, wavelet tree with rank counts, and suffix positions sampled at every ``SAMPLE``-th
 place. All windows are searched backwards at once, and their occurrences are located by steps to the next sample.
-No shuffle when the benchmark is one block; else one by row.
+No shuffle. Of several blocks one is searched after the other, always in the input's texts: each pass adds its spans and
+items beside the row, which is settled in between and needs no key.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,8 @@ WINDOW = 10
 SHARD = 1 << 20
 SAMPLE = 8
 BLOCK = 2_000_000
+#: Columns beside a row for what earlier blocks have found.
+SPANS, ITEMS = "__spans", "__items"
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -203,23 +205,22 @@ def spans(start: np.ndarray, length: np.ndarray) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _search(blocks):
-    """blocks: the broadcast list of one block's items, or of several that are searched one after the other."""
+def _search(blocks, last):
+    """Adds one block's spans and items to those of earlier blocks; the last pass gives up the text for its n_words."""
 
     def run(it):
-        parts = blocks.value
-        ready = phrases(parts, WINDOW)
+        ready = phrases(blocks.value, WINDOW)
         for b in (s for x in it for s in words.batches([x], 6 * SHARD)):
-            split = [tokens(t) for t in words.blobs(b.column(1))]
-            found = matches(ready, split)
+            split = [tokens(t) for t in words.blobs(b.column("text"))]
             hit, names = [], []
-            for start, window in found:
-                hit.append([y for x in spans(start, ready["lengths"][window]) for y in x])
-                names.append(sorted({x for w in np.unique(window) for x in ready["names"][w]}))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(w) for w in split], pa.int64()), pa.array(hit, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))],
-                names=["row", "n_words", "spans", "items"],
-            )
+            for (start, window), spans_before, items_before in zip(matches(ready, split), b.column(SPANS).to_pylist(), b.column(ITEMS).to_pylist(), strict=True):
+                hit.append([y for x in _with(spans(start, ready["lengths"][window]), spans_before) for y in x])
+                names.append(sorted({x for w in np.unique(window) for x in ready["names"][w]}.union(items_before or ())))
+            found = {SPANS: pa.array(hit, pa.list_(pa.int64())), ITEMS: pa.array(names, pa.list_(pa.string()))}
+            if last:
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([len(w) for w in split], pa.int64()), *found.values()], names=["row", "n_words", "spans", "items"])
+            else:
+                yield pa.RecordBatch.from_arrays([found.get(n, b.column(n)) for n in b.schema.names], schema=b.schema)
 
     return run
 
@@ -237,36 +238,36 @@ def _blocks(benchmark: DataFrame):
     yield block
 
 
-def _merged(pdf_lists):
-    out = []
-    for s, e in sorted(pdf_lists):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return out
+def _with(found: list[tuple[int, int]], before: list[int] | None) -> list[tuple[int, int]]:
+    """Spans merged with the flat ones of earlier blocks."""
+    if not before:
+        return found
+    at = np.array(sorted([*found, *zip(before[::2], before[1::2], strict=True)]), np.int64)
+    return spans(at[:, 0], at[:, 1] - at[:, 0])
 
 
-def _union(x: pd.Series) -> pd.Series:
-    """Merged spans of the spans found in several blocks."""
-    return x.map(lambda flat: [v for y in _merged(list(zip(flat[::2], flat[1::2], strict=True))) for v in y])
+def _passed(rows: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, list]:
+    """rows with SPANS and ITEMS of all blocks but the last one, and that block."""
+    spark = rows.sparkSession
+    rows = rows.withColumns({SPANS: F.lit(None).cast("array<long>"), ITEMS: F.lit(None).cast("array<string>")})
+    blocks, path = _blocks(benchmark), None
+    block = next(blocks)
+    for following in blocks:
+        done, path = path, store.place(spark, "block")
+        rows.mapInArrow(_search(spark.sparkContext.broadcast(block), False), rows.schema).write.option("compression", "zstd").parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        if done:
+            store.remove(spark, done)
+        block = following
+    return rows, block
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keys: list[str]) -> DataFrame:
-    """keys (they tell rows apart if the benchmark has more than one block), n_words, spans (flat word places of the
-    merged removal spans: start, end, start, end ...) and items (sorted item ids with occurring windows)."""
-    spark = docs.sparkSession
-    rows = docs.select(F.struct(*keys).alias("row"), F.col("text").cast("string").alias("text"))
+    """keys, n_words, spans (flat word places of the merged removal spans: start, end, start, end ...) and items (sorted
+    item ids with occurring windows) of each row."""
+    rows, block = _passed(docs.select(F.struct(*keys).alias("row"), F.col("text").cast("string").alias("text")), benchmark)
     kind = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, spans array<long>, items array<string>"
-    parts = [rows.mapInArrow(_search(spark.sparkContext.broadcast(block)), kind) for block in _blocks(benchmark)]
-    found = parts[0]
-    if len(parts) > 1:
-        parts = [store.settle(p, "block") for p in parts]
-        for p in parts[1:]:
-            found = found.unionByName(p)
-        found = found.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        found = found.withColumn("spans", F.pandas_udf(_union, "array<long>")("spans"))
-    return found.select("row.*", "n_words", "spans", "items")
+    return rows.mapInArrow(_search(rows.sparkSession.sparkContext.broadcast(block), True), kind).select("row.*", "n_words", "spans", "items")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

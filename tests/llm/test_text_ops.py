@@ -167,6 +167,16 @@ def test_decontamination(spark, odd, odd_docs, monkeypatch, block):
     assert fmindex.contamination(docs, bench.limit(0), ["doc_id"]).where("size(spans) > 0 or size(items) > 0").count() == 0
 
 
+def test_decontamination_of_repeated_ids(spark, monkeypatch):
+    """Several blocks, and rows that only their text tells apart."""
+    monkeypatch.setattr(fmindex, "BLOCK", 3)
+    docs = [(1, "a b c d e f g h i j", "x"), (1, "z p q r s t u v w x y z", "x"), (1, "a b c d e f g h i j", "x"), (None, "clean", "x"), (None, "a b c d e f g h i j k l m n o", "x")]
+    items = [(1, "a b c d e f g h i j"), (2, "f g h i j k l m n o"), (3, "p q r s t u v w x y")]
+    hit = F.aggregate(F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("long"), lambda s, x: s + x)
+    got = fmindex.contamination(spark.createDataFrame(docs, "doc_id long, text string, source string"), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"])
+    assert as_set(got.select("doc_id", "n_words", hit, "items")) == brute_hits(docs, items)
+
+
 @settings(deadline=None, max_examples=60)
 @given(st.lists(st.integers(1, 4), min_size=1, max_size=60), st.lists(st.lists(st.integers(1, 5), min_size=1, max_size=5), min_size=1, max_size=6))
 def test_fm_index(seq, patterns):
