@@ -284,14 +284,12 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Text outside the spans keeps its characters; a span and what separates its words go. n_chars follows the text.
     """
     names = docs.columns
-    blocks = list(_blocks(spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
-    out = docs
-    for block in blocks:
-        out = out.mapInArrow(_cut(spark.sparkContext.broadcast(block), names), out.schema)
-    return out
+    rows, block = _passed(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.mapInArrow(_cut(spark.sparkContext.broadcast(block), names), docs.schema)
 
 
 def _cut(blocks, names):
+    """The last pass: cuts each text once, by the spans of all blocks."""
     import re
 
     word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -304,18 +302,20 @@ def _cut(blocks, names):
             texts = b.column(at).to_pylist()
             found = matches(ready, [tokens(t) for t in words.blobs(b.column(at))])
             keep = []
-            for i, (start, window) in enumerate(found):
+            for i, ((start, window), before) in enumerate(zip(found, b.column(SPANS).to_pylist(), strict=True)):
                 keep.append(True)
-                if len(start):
+                gone = _with(spans(start, ready["lengths"][window]), before)
+                if gone:
                     places = [m.span() for m in word.finditer(texts[i].translate(lower))]
                     left, last = [], 0
-                    for s, e in spans(start, ready["lengths"][window]):
+                    for s, e in gone:
                         left.append(texts[i][last : places[s][0]])
                         last = places[e - 1][1]
                     left.append(texts[i][last:])
                     texts[i] = "".join(left)
                     keep[-1] = word.search(texts[i].translate(lower)) is not None
-            cols = [pa.array(texts, b.schema.field(j).type) if n == "text" else pa.array([None if t is None else len(t) for t in texts], b.schema.field(j).type) if n == "n_chars" else b.column(j) for j, n in enumerate(names)]
-            yield pa.RecordBatch.from_arrays(cols, schema=b.schema).filter(pa.array(keep))
+            cols = {"text": lambda c: pa.array(texts, c.type), "n_chars": lambda c: pa.array([None if t is None else len(t) for t in texts], c.type)}
+            own = [cols[n](b.column(n)) if n in cols else b.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(own, names=names).filter(pa.array(keep))
 
     return run

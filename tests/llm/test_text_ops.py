@@ -199,6 +199,16 @@ def test_cut_texts(spark, tmp_path):
     assert got[1] == ("Start: )! end", 13) and 2 not in got and got[4] == ("clean", 5)
 
 
+def test_cut_texts_by_several_blocks(spark, tmp_path, monkeypatch):
+    """All windows are judged on the input: overlapping ones of different blocks all go, and none arises across a gap."""
+    monkeypatch.setattr(fmindex, "BLOCK", 3)
+    items = [(1, "a b c d e f g h i j"), (2, "f g h i j k l m n o"), (3, "p q r s t u v w x y")]
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, "0 a b c d e f g h i j k l m n o 1", 33), (2, "p q r s t a b c d e f g h i j u v w x y", 39), (2, "a b c d e f g h i j k l m n o", 29), (3, None, None), (3, "clean", 5)]
+    got = fmindex.stage(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), str(tmp_path))
+    assert as_set(got) == sorted(map(str, [(1, "0  1", 4), (2, "p q r s t  u v w x y", 20), (3, None, None), (3, "clean", 5)]))
+
+
 # 2
 
 
