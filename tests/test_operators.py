@@ -85,6 +85,16 @@ def test_paths_over_free_arcs(spark):
     assert [(x.edge_ids, x.cost) for x in r] == [([], 0.0), ([3, 4], 1.0)] or r[1].vertices[0] == 1 and r[1].vertices[-1] == 4
 
 
+def test_both_path_forms_take_the_same_free_arcs(spark):
+    rnd = random.Random(4)
+    rows = [(i, rnd.randrange(14), rnd.randrange(14), rnd.choice([0, 0, 1, 2]), rnd.choice([-1, 0, 1])) for i in range(26)]
+    edges = spark.createDataFrame(rows, "id long, source long, target long, cost long, reverse_cost long")
+    pairs = spark.createDataFrame([(a, b) for a in (0, 3) for b in range(14) if a != b], "source long, target long")
+    near, far = ({(r.source, r.target): (r.edge_ids, r.vertices, r.cost) for r in graph.paths(edges, pairs, s).collect()} for s in (Settings(), Settings(max_broadcast_edges=3)))
+    assert near == far
+    assert {k: c for k, (_, _, c) in near.items()} == {(o, n): d for o in (0, 3) for n, d in brute_distances(rows, o).items() if n != o}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9), (4, 7), (3, 1)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect()}
