@@ -6,7 +6,7 @@ final mark, capitals. Two states: main text or not. Weights are fitted by condit
 pages, written by ``labelled_pages`` from a rule with a fixed seed: articles in several layouts with menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments in and around them.
 
-Scripts, styles, comments, and what is in head never become blocks. Character references are decoded, white space inside
+Scripts, styles, drawings (svg), comments, and what is in head never become blocks; formulas (math) are text of their block. Character references are decoded, white space inside
 a block becomes one space, blocks of main text are joined in page order by one space. Null or empty html, and a page
 without main text, give an empty text. Malformed markup is taken as far as it goes: an end tag closes up to its nearest open start, an unclosed
 tag ends where the page ends, "<" before anything but a tag is text. Each row is a page of its own; an empty table gives an empty result; other columns are ignored.
@@ -29,8 +29,9 @@ _TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HINT = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select option".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select option".split())
+MATH = frozenset("math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 #: An open element of the key's kind is closed by a new one, unless an element of the list stands between.
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("table ul ol dl div section article aside nav main body form blockquote header footer td th".split())
@@ -106,6 +107,8 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                     path = marks()
                     break
             continue
+        if tag == "svg" and m[4].endswith("/>"):
+            continue  # only foreign elements close themselves; a script or style does not
         if tag in RAW or tag == "head":
             if tag != "head":
                 lower = page.lower() if lower is None else lower

@@ -90,6 +90,18 @@ def test_odd_pages():
         assert isinstance(htmlcrf.main_text(m, page), str)
 
 
+def test_drawings_and_formulas():
+    texts = lambda page: [t for t, _, _ in htmlcrf.blocks(page)]
+    assert texts('<p>one <svg viewBox="0 0 1 1"/> two</p><p>three</p>') == ["one two", "three"]
+    assert texts("<p>one <svg><text>no</text></svg> two</p><p>three") == ["one two", "three"]
+    assert texts("<p>one <math/> two</p><p>three</p>") == ["one two", "three"]
+    assert texts("<p>where <math><mi>x</mi> <mo>=</mo> <mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds</p>") == ["where x = 12 holds"]
+    text = "The first paragraph of this article has a good number of words and ends with a full stop."
+    page = f'<html><body><article><h1>Title of it</h1><p>{text}</p><svg class="icon"/><p>{text} Then <math><mi>y</mi></math> follows.</p></article></body></html>'
+    got = htmlcrf.main_text(htmlcrf.model(), page)
+    assert got.count(text) == 2 and "Then y follows." in got
+
+
 def test_labels_follow_blocks_and_held_out_pages():
     m, right, total = htmlcrf.model(), 0, 0
     for page, labels in htmlcrf.labelled_pages(150, seed=99):
