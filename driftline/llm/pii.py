@@ -7,8 +7,9 @@ single spaces or hyphens between, passing Luhn; phone, a plus sign and 9 to 15 d
 The field. Tokens are runs without white space, stripped of outer punctuation. Tokens with a digit or an at sign are variables over the states of
 ``STATES``; all others are held at "none", so that the chain factors over stretches of neighbouring variables and a
 text without digits costs nothing. Inputs: the token's shape, its digits, base matches over it, and cue words shortly before it.
-Skip edges join each variable to the next one in the document that has the same digits (or the same last seven), or
-the same letters, however far away; they carry a learned potential for equal states. Marginals come from loopy message passing, which
+Skip edges join each variable of seven or more digits to the next one in the document that has the same digits (or the same last
+seven), and any other of four or more characters, but a bare number, to the next one of the same letters, however far away; a number
+of 7 to 19 digits written in neighbouring tokens is joined likewise, part by part. They carry a learned potential for equal states. Marginals come from loopy message passing, which
 is exact forward-backward where no token recurs. Weights are fitted by the likelihood's gradient, with marginals from the same message
 passing, on texts that ``examples`` writes from a rule with a fixed seed. A stretch of variables of one kind with a marginal of at
 least ``SURE`` each, that overlaps no base span, becomes a span of that kind; base spans always stay.
@@ -41,6 +42,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _KEY = re.compile(r"[0-9@]")
+#: A token that can be a part of a number of at most MOST digits.
+_PART, MOST = re.compile(r"[+(]*[0-9][0-9()-]*"), 19
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -129,8 +132,9 @@ class Graph:
 
     def __init__(self, text: str, found: list[tuple[int, int, int]]):
         self.spans, self.marks, self.chain, self.skip = [], [], [], []
-        last_of: dict[str, int] = {}
-        tokens_before, previous, cues = -9, None, []
+        self._last: dict[str, list[int]] = {}
+        self._linked: set[tuple[int, int]] = set()
+        previous, cues, parts, whole = None, [], [], False
         at = 0
         # only the surroundings of digits and at signs are cut into tokens
         place = 0
@@ -163,12 +167,36 @@ class Graph:
             self.marks.append(own)
             if previous is not None and not near:
                 self.chain.append((k - 1, k))
-            for name in ((digits, "~" + digits[-7:]) if len(digits) >= 7 else (token.lower(),) if len(token) >= 4 and not digits.isdigit() else ()):
-                if name in last_of:
-                    self.skip.append((last_of[name], k))
-                last_of[name] = k
+            for name in (digits, "~" + digits[-7:]) if len(digits) >= 7 else (token.lower(),) if len(token) >= 4 and not token.isdigit() else ():
+                self._link(name, [k])
+            if not _PART.fullmatch(token):
+                parts = []
+            else:
+                # marks between two tokens end a number that is written in parts
+                parts = [*(parts if previous is not None and not near and whole and s == start else []), (k, digits)][-MOST:]
+                joined = digits
+                for i in range(len(parts) - 2, -1, -1):
+                    joined = parts[i][1] + joined
+                    if len(joined) > MOST:
+                        break
+                    if len(joined) >= 7:
+                        shortest = len(joined) - len(parts[i][1]) < 7
+                        for name in (joined, "~" + joined[-7:]) if shortest else (joined,):
+                            self._link(name, [v for v, _ in parts[i:]])
+            whole = e == end
             previous, at = k, end
 
+    def _link(self, name: str, own: list[int]) -> None:
+        """Skip edges from the last mention of that name to this one, part by part; the last part stands for those that one of them lacks."""
+        old = self._last.get(name)
+        if old and old[-1] < own[0]:
+            for i in range(max(len(old), len(own))):
+                pair = old[min(i, len(old) - 1)], own[min(i, len(own) - 1)]
+                if pair not in self._linked:
+                    self._linked.add(pair)
+                    self.skip.append(pair)
+        self._last[name] = own
+
 
 def marginals(unary: np.ndarray, chain: list, skip: list, trans: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Beliefs of the variables, and of the pairs of all edges (chain, then skip), by message passing in both directions.

@@ -379,6 +379,26 @@ def test_field_adds_repeated_numbers(spark):
     assert hit >= 0.3 * wanted and wrong <= 0.2 * max(hit, 1)
 
 
+def test_skip_edges_join_mentions():
+    def linked(text):
+        g = pii.Graph(text, pii.base(text))
+        token = lambda k: text[slice(*g.spans[k])]
+        return [(token(i), token(j)) for i, j in sorted(g.skip)]
+
+    assert linked("a user42@host and then User42@host.") == [("user42@host", "User42@host")]
+    assert linked("at 10.0.0.1 or more far away 10.0.0.1, 12 12 1234 so 1234") == [("10.0.0.1", "10.0.0.1")]
+    assert linked("to +49 171 555 1234 then a few words +49 171 555 1234 end") == [(x, x) for x in ("+49", "171", "555", "1234")]
+    assert linked("to 0171 555 1234 then a few words 5551234 end") == [("555", "5551234"), ("1234", "5551234")]
+    assert linked("to 49 171555 1234 then a few words 0171 555 1234 end") == [("171555", "555"), ("1234", "1234")]
+    assert linked("of 4123 5678, 9012 3456 a few words between 4123 56789012 3450 end") == []
+
+
+def test_field_labels_the_second_mention():
+    number = "0171 555 1234"
+    text = f"please phone: {number} then many other words come along here until {number} again"
+    assert [text[s:e] for s, _, e in pii.added(pii.model(), text, pii.base(text))] == [number] * 2
+
+
 def test_messages_are_exact_on_a_chain():
     rng = np.random.default_rng(2)
     unary, trans = rng.normal(size=(4, 3)), rng.normal(size=(3, 3))
