@@ -57,12 +57,18 @@ def _hints(attributes: str) -> tuple[str, ...]:
 
 
 def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
-    """(text, marks of its ancestors, characters inside links) of each leaf block with text, in page order."""
+    """(text, marks of its ancestors, characters inside links) of each leaf block with text, in page order.
+
+    In time linear in the page, however deep: each open element carries the marks of its path, and the places of the
+    open elements of each tag are known.
+    """
     out: list[tuple[str, tuple[str, ...], int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...]]] = []  # tag, and marks of the path down to it
+    opened: dict[str, list[int]] = {}  # places in the stack, ascending, of each tag
     parts: list[str] = []
     linked, links, at, lower = 0, 0, 0, None
-    path: tuple[str, ...] = ()
+    path: tuple[str, ...] = ()  # marks of the block at hand: inline elements do not change them
+    closed = page.rfind(">") + 1  # no tag ends behind this
 
     def flush() -> None:
         nonlocal linked
@@ -73,16 +79,22 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
             parts.clear()
         linked = 0
 
-    def marks() -> tuple[str, ...]:
-        found = set()
-        for tag, hints in stack:
-            if tag in TAGS:
-                found.add(tag)
-            found.update(hints)
-        return tuple(sorted(found))
+    def last(tags) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=-1)
+
+    def push(tag: str, hints: tuple[str, ...]) -> None:
+        above = stack[-1][1] if stack else ()
+        own = (*hints, tag) if tag in TAGS else hints
+        marks = above if all(m in above for m in own) else tuple(sorted({*above, *own}))
+        opened.setdefault(tag, []).append(len(stack))
+        stack.append((tag, marks))
+
+    def cut(place: int) -> None:
+        while len(stack) > place:
+            opened[stack.pop()[0]].pop()
 
     while True:
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at, closed)
         if not m:
             break
         if m.start() > at:
@@ -101,11 +113,9 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                 links = max(0, links - 1)
             if tag not in INLINE:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    path = marks()
-                    break
+            if opened.get(tag):
+                cut(opened[tag][-1])
+                path = stack[-1][1] if stack else ()
             continue
         if tag == "svg" and m[4].endswith("/>"):
             continue  # only foreign elements close themselves; a script or style does not
@@ -117,28 +127,25 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                 at = len(page) if end < 0 else page.find(">", end) + 1 or len(page)
             else:
                 flush()
-                stack.append((tag, ()))
+                push(tag, ())
             continue
         if tag not in INLINE:
             flush()
             if tag == "body":
-                stack.clear()
-            if tag in CLOSES:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in CLOSES[tag]:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in SCOPE:
-                        break
+                cut(0)
+            if tag in CLOSES and (place := last(CLOSES[tag])) >= 0 and place >= last(SCOPE):
+                cut(place)
         if tag in VOID or m[4].endswith("/>"):
             continue
         if tag == "a":
             links += 1
-        stack.append((tag, _hints(m[4]) if len(m[4]) > 3 else ()))
+        push(tag, _hints(m[4]) if len(m[4]) > 3 else ())
         if tag not in INLINE:
-            path = marks()
-    if at < len(page):
-        parts.append(page[at:])
+            path = stack[-1][1]
+    comment = page.find("<!--", at)
+    if at < (len(page) if comment < 0 else comment):
+        parts.append(page[at : None if comment < 0 else comment])
+        linked += (comment - at) if links and comment >= 0 else 0
     flush()
     return out
 
@@ -164,7 +171,7 @@ def inputs(page: str) -> tuple[list[str], list[list[str]]]:
 
 def labelled_pages(count: int, seed: int = 7) -> list[tuple[str, list[int]]]:
     """Pages and the label of each of their blocks (1: main text), written by rule."""
-    rng = np.random.default_rng(seed)
+    rng, layout = np.random.default_rng(seed), np.random.default_rng(seed + 1)
     parts = ["ba", "lo", "mi", "tra", "ne", "sur", "qui", "den", "ol", "ve", "ti", "ga", "con", "re", "per"]
 
     def text(lo: int, hi: int, stop: bool = True) -> str:
@@ -246,7 +253,21 @@ def labelled_pages(count: int, seed: int = 7) -> list[tuple[str, list[int]]]:
         for _ in range(int(rng.integers(1, 4))):
             other(["nav", "ad", "notice", "form", "header", "aside", "nav", "ad"])
         shell = either("article", "article", "article", 'div class="content"', "main", 'div class="post entry"', 'div id="main"')
-        out.append(f"<{shell}>")
+        # an article may stand in a cell of a table that lays out the page, with other cells beside it
+        cell = layout.random() < 0.15
+        if layout.random() < 0.12:
+            shell = "div"
+        if cell:
+            out.append("<table><tr>")
+            if layout.random() < 0.5:
+                out.append("<td>")
+                links(2, 6)
+                out.append("</td>")
+            out.append("<td>")
+        if not cell or layout.random() < 0.4:
+            out.append(f"<{shell}>")
+        else:
+            shell = ""
         if rng.random() < 0.9:
             add(f"<h1>{text(1, 9, rng.random() < 0.3)}</h1>", 1)
         for k in range(int(rng.integers(1, 9))):
@@ -271,7 +292,10 @@ def labelled_pages(count: int, seed: int = 7) -> list[tuple[str, list[int]]]:
                 other(["ad", "notice", "aside", "form", "ad"])
         if rng.random() < 0.25:
             other(["comments"])
-        out.append(f"</{shell.split()[0]}>")
+        if shell:
+            out.append(f"</{shell.split()[0]}>")
+        if cell:
+            out.append("</td></tr></table>")
         for _ in range(int(rng.integers(0, 3))):
             other(["comments", "aside", "ad", "nav", "form", "notice"])
         if rng.random() < 0.9:
