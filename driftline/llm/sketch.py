@@ -6,7 +6,7 @@ range, so sketches of parts merge by union and a short text's sketch is comparab
 first 60 bits of the MD5 of the shingle's words joined by one space.
 
 A fingerprint is the text ``w:m:h,h,...``: number of words, MD5 of all words joined by one space, and the kept hashes
-in ascending order as 15 hex digits. Equal texts have equal fingerprints. Likeness is the Jaccard similarity of the kept
+in ascending order as 15 hex digits: under a third of a text of ordinary words. Equal texts have equal fingerprints. Likeness is the Jaccard similarity of the kept
 hashes (an unbiased estimate of that of the shingles); where neither keeps any, it is 1 if number and MD5 of the words agree and 0 if not.
 Containment is the share of one's kept hashes that the other keeps too (null if it keeps none).
 
@@ -29,10 +29,12 @@ from driftline.llm import store
 
 WIDTH = 5
 #: One in this many hashes is kept.
-KEEP = 4
+KEEP = 8
+#: Hex digits of a hash.
+DIGITS = 15
 #: Buckets of neighbouring ids for each shuffle partition.
 PER_PARTITION = 8
-_BELOW = f"{(1 << 60) // KEEP:015x}"
+_BELOW = f"{(1 << 4 * DIGITS) // KEEP:0{DIGITS}x}"
 
 
 def words_of(text: Column) -> Column:
@@ -45,7 +47,7 @@ def kept_hashes(words: Column) -> Column:
     n = F.size(words)
     shingle = lambda i: F.concat_ws(" ", *(F.get(words, i + k) for k in range(WIDTH)))
     places = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - WIDTH, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.array_sort(F.array_distinct(F.filter(F.transform(places, lambda i: F.substring(F.md5(shingle(i).cast("binary")), 1, 15)), lambda h: h < _BELOW)))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(places, lambda i: F.substring(F.md5(shingle(i).cast("binary")), 1, DIGITS)), lambda h: h < _BELOW)))
 
 
 def fingerprint(words: Column, kept: Column) -> Column:
@@ -90,7 +92,7 @@ def _bucket(order: Column, bounds: list[int]) -> Column:
     arrays = F.array(*(F.array(*(F.lit(b) for b in part)).cast("array<long>") for part in parts))
     part = F.size(F.filter(F.array(*(F.lit(part[-1]) for part in parts if part)).cast("array<long>"), lambda b: b < order))
     inside = F.coalesce(F.size(F.filter(F.get(arrays, part), lambda b: b < order)), F.lit(0))
-    return F.when(order.isNull(), len(bounds) + 1).otherwise(part * step + inside)
+    return part * step + inside
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
@@ -101,7 +103,10 @@ def neighbours(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("order", F.bitwise_not("doc_id")).withColumn("tie", F.xxhash64("text"))
     many = PER_PARTITION * store.partitions(spark)
     got = docs.agg(F.percentile_approx(F.bitwise_not(F.col("doc_id").cast("long")), [k / many for k in range(1, many)], 10 * many)).first()[0]
-    rows = rows.withColumn("bucket", _bucket(F.col("order"), sorted(set(got or []))))
+    bounds = sorted(set(got or []))
+    # null ids follow each other by text hash, which is spread evenly, so they are cut by its ranges
+    nulls = F.least(F.floor((F.col("tie") / float(1 << 63) + 1) / 2 * many), F.lit(many - 1)).cast("int")
+    rows = rows.withColumn("bucket", F.when(F.col("order").isNull(), len(bounds) + 1 + nulls).otherwise(_bucket(F.col("order"), bounds)))
     # the first row of each bucket, one short row a bucket, is known to every task: it goes to the bucket before it too
     firsts = rows.groupBy("bucket").agg(F.min(F.struct(F.col("order").isNull().alias("null"), "order", "tie")).alias("f"))
     firsts = firsts.withColumn("before", F.lag("bucket").over(Window.orderBy("bucket")))
@@ -144,7 +149,7 @@ def _sql_words(text: str) -> str:
 
 _KEPT = f"""list_sort(list_distinct(list_filter(list_transform(
   case when len(w) = 0 then [] else generate_series(1, greatest(len(w) - {WIDTH - 1}, 1)) end,
-  lambda i: md5(array_to_string(w[i:i + {WIDTH - 1}], ' '))[1:15]), lambda x: x < '{_BELOW}')))"""
+  lambda i: md5(array_to_string(w[i:i + {WIDTH - 1}], ' '))[1:{DIGITS}]), lambda x: x < '{_BELOW}')))"""
 
 _LIKE = "case when len(list_distinct(list_concat({a}, {b}))) > 0 then len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) when {p} = {q} then 1.0::double else 0.0::double end"
 
