@@ -7,7 +7,8 @@ feature. A score is the intercept plus one table value a feature and pair: vecto
 
 Inputs are the figures of ``textstats`` alone. Labels come only from rows whose crc32(doc_id as text) mod 3 is not 1; at
 most ``MOST_ROWS`` of them (those with the smallest hash of the id) are used to fit. Null or empty texts are scored
-from zeros. Labels that are null are not used; a doc_id that is labelled twice counts once, with its larger label.
+from zeros. Labels that are null are not used; a doc_id that is labelled twice counts once, with its larger label; of
+the documents of a doc_id that repeats, the one whose text has the smallest hash is used to fit.
 Without two kinds of labels the score is the share of label 1, or 0.5 without any. A null doc_id counts as the text "". An empty table gives an empty result; other columns are ignored.
 """
 
@@ -135,8 +136,9 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     """The model from the bounded sample; the sampled ids (two numbers each) are broadcast, their figures collected."""
     ids = labelled(labels.where(remainder(F.col("doc_id")) != 1), "quality", MOST_ROWS)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
-    rows = own.select(F.struct("doc_id", "label").alias("doc_id"), "text").mapInArrow(_figures, "doc_id struct<doc_id long, label int>, x array<double>")
-    got = rows.select("doc_id.*", "x").toPandas().sort_values("doc_id")
+    rows = own.select(F.struct("doc_id", "label", F.xxhash64("text").alias("tie")).alias("doc_id"), "text").mapInArrow(_figures, "doc_id struct<doc_id long, label int, tie long>, x array<double>")
+    # one row an id, that of the text with the smallest hash, so that no more than MOST_ROWS are collected however often ids repeat
+    got = rows.select("doc_id.*", "x").groupBy("doc_id").agg(F.min(F.struct("tie", "x", "label")).alias("r")).select("doc_id", "r.x", "r.label").toPandas().sort_values("doc_id")
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(textstats.NAMES))
     order = np.lexsort((*x.T, got["doc_id"].to_numpy()))
     return fit(x[order], got["label"].to_numpy(float)[order])

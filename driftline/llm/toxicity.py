@@ -11,7 +11,7 @@ training rows. At most ``MOST_ROWS`` labelled rows, those with the smallest hash
 chi-squared for either label, at least ``LEAST_DOCS`` documents holding them.
 
 Null texts and texts without words have the probability 0 of everything. A doc_id that is labelled twice counts once, with its larger
-labels; null labels count as not given. Where a category has no examples of either kind its probability is their share,
+labels; of the documents of a doc_id that repeats, the one whose text has the smallest hash is used to fit; null labels count as not given. Where a category has no examples of either kind its probability is their share,
 or 0 without labels, so nothing is toxic. An empty table gives an empty result; other columns are ignored, and
 kept by ``clean``.
 """
@@ -146,6 +146,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     ids = ids.agg(F.max(F.col("toxic").cast("int")).alias("toxic"), F.coalesce(F.min((F.col("quality") == 0).cast("int")), F.lit(0)).alias("junk"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_ROWS)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
+    # one text an id, that with the smallest hash, so that no more than MOST_ROWS are used however often ids repeat
+    own = own.groupBy("doc_id", "toxic", "junk").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
     own = store.settle(own.select(F.struct("doc_id", "toxic", "junk").alias("row"), "text"), "sample")
     kind = own.schema["row"].dataType.simpleString()
     counted = own.mapInArrow(_holds, f"row {kind}, terms array<string>").select("row.*", F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"), F.sum("junk").alias("j")).where(F.col("n") >= LEAST_DOCS)
@@ -158,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     best = counted.withColumn("chi", F.greatest(chi("t", t), chi("j", j) / 4)).orderBy(F.desc("chi"), "term").limit(CHOSEN).select("term").collect()
     places = {r[0]: k for k, r in enumerate(best)}
     got = own.mapInArrow(_examples(spark.sparkContext.broadcast(places)), f"row {kind}, held array<bigint>, figures array<double>").select("row.*", "held", "figures").toPandas()
-    got = got.assign(key=got["figures"].map(tuple)).sort_values(["doc_id", "key"]).drop_duplicates("doc_id")
+    got = got.sort_values("doc_id")
     toxic, junk = got["toxic"].to_numpy(float), got["junk"].to_numpy(float)
     fold = (got["doc_id"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % FOLDS
     figures = np.array(got["figures"].tolist(), float).reshape(len(got), len(textstats.NAMES))
