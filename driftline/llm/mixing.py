@@ -88,9 +88,16 @@ def sample(docs: DataFrame) -> DataFrame:
     joined = docs.join(got, same)
     copies, rows = F.col(f"{own}copies"), F.col(f"{own}rows")
     if got.where(rows > 1).take(1):
-        # rows that are equal in doc_id, source and text share their copies evenly, the first of them taking what is over
-        place = F.row_number().over(Window.partitionBy(f"{own}doc_id", f"{own}source", f"{own}tie").orderBy(F.lit(0)))
-        joined = joined.withColumn(f"{own}copies", F.floor(copies / rows) + (place <= copies % rows).cast("long")).where(copies > 0)
+        # rows that are equal in doc_id, source and text share their copies evenly, the first of them, by the hash of all
+        # columns, taking what is over; they are numbered over ranges, so that no task needs all of them
+        key = [f"{own}doc_id", f"{own}source", f"{own}tie"]
+        several = joined.where(rows > 1).select(*(docs[c].alias(f"{own}c{k}") for k, c in enumerate(docs.columns)), *key, copies, rows)
+        whole = [f"{own}c{k}" for k in range(len(docs.columns))]
+        several = store.ranked(several, [F.xxhash64(*whole).asc()], within=key, name="several")
+        several = several.withColumn(f"{own}copies", F.floor(copies / rows) + (F.col("rank") <= copies % rows).cast("long")).where(copies > 0)
+        several = several.select(*(F.col(w).alias(c) for w, c in zip(whole, docs.columns, strict=True)), copies)
+        joined = joined.where(rows == 1).select(*(docs[c] for c in docs.columns), copies).unionByName(several)
+        return joined.withColumn(f"{own}each", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*docs.columns)
     return joined.withColumn(f"{own}each", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*(docs[c] for c in docs.columns))
 
 
@@ -99,6 +106,8 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: each document as often as it is taken (0 to MOST times), all columns kept; wordless documents and those of a
+    source without words are never taken, rows that repeat a doc_id are documents of their own, an empty table stays empty."""
     return sample(docs)
 
 

@@ -5,6 +5,7 @@ Everything is written as Parquet under ``spark.checkpoint.dir``, a folder that t
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,28 +13,65 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
+_MADE: list[str] = []
+#: Keys with more rows than HOT are met without a shuffle, at most MOST_HOT of them (the hottest), so the rest have few rows each.
+HOT, MOST_HOT = 1_000, 10_000
 
 
 def root(spark: SparkSession) -> str:
-    """The session's folder under spark.checkpoint.dir; only where that is unset (tests), a temporary one."""
+    """The session's folder under spark.checkpoint.dir. Where that is unset, a temporary one if driver and executors are
+    one process (tests); on a cluster, where they would not see each other's files, an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if not base:
-        base = _LOCAL.setdefault(app, tempfile.mkdtemp(prefix="driftline-"))
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _LOCAL.get(app) or _LOCAL.setdefault(app, tempfile.mkdtemp(prefix="driftline-"))
     return f"{base.rstrip('/')}/driftline-{app}"
 
 
 def place(spark: SparkSession, name: str) -> str:
-    return f"{root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def mark() -> int:
+    """A point in time for ``sweep``."""
+    return len(_MADE)
+
+
+def sweep(spark: SparkSession, since: int, keep: str) -> None:
+    """Delete all folders made after the mark, but keep: what they held has been written there."""
+    for path in [p for p in _MADE[since:] if p != keep]:
+        remove(spark, path)
+        _MADE.remove(path)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df once and continue from the files: later stages never recompute it."""
-    path = place(df.sparkSession, name)
+    return settle_at(df, place(df.sparkSession, name))
+
+
+def settle_at(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def meet(rows: DataFrame, counted: DataFrame, key: str, count: str) -> DataFrame:
+    """rows joined by key with counted, which has one row a key and the number of its rows. Both are read twice: settle them.
+
+    The hottest keys, a bounded number, are broadcast, so that no task gets all rows of one key; the others are shuffled.
+    """
+    hot = counted.where(F.col(count) > HOT).orderBy(F.desc(count), key).limit(MOST_HOT)
+    if not hot.take(1):
+        return rows.join(counted, key)
+    hot = settle(hot, "hot")
+    names = F.broadcast(hot.select(key))
+    cold = rows.join(names, key, "left_anti").join(counted.join(names, key, "left_anti"), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
