@@ -11,8 +11,9 @@ Files, all Parquet, under one folder:
   recipes        the recipes in ascending doc_id (nulls last, ties by text hash), with rank and before (ids before)
 
 Rows with equal or null doc_id are documents of their own. An empty table gives empty files and an empty result; other
-columns are ignored. Text is never cut before encoding: only at single spaces between two characters that are no white
-space, where the byte-level pre-tokenizer always starts a new piece; a text with any other white space next to a space is encoded in one go.
+columns are ignored. Every text is encoded whole, in effect: where the tokenizer's own description is that of byte-level BPE with
+its usual pattern, a text whose spaces and line ends all stand alone is cut before them, where a pre-token always begins, and the ids of
+its pieces are those that a worker remembers or the library gives; any other text, and any other tokenizer, is encoded in one go.
 
 Plan. One scan encodes; a task sends each of its distinct chunks once, so a chunk that the whole corpus shares costs one row a
 task. One shuffle by chunk name (recipes ride along) brings equal chunks together, and a sorted pass drops repeats and
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 
 import numpy as np
@@ -38,28 +40,73 @@ from driftline.llm import store, words
 
 END = 2
 ROLL, LOW_BITS, LEAST, MOST = 16, 9, 128, 4096
-#: Pieces whose ids a worker remembers, in each of two generations.
-MEMO = 400_000
+#: Pieces whose ids a worker remembers, and bytes of text that it encodes at a time.
+MEMO, BATCH = 800_000, 6 << 20
 
 _P = np.array([0x9E3779B97F4A7C15], np.uint64)
 _ready: dict[str, tuple] = {}
-_memo: list[dict[str, bytes]] = [{}, {}]
+#: White space, and more: what is wrongly taken for it only costs time.
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}\x{180e}]"
+_ODD = rf"^$|^\n(?:{_SPACE}|$)|^[ \t\r\x0b\x0c\x1c-\x1f\x{{85}}\p{{Z}}\x{{180e}}]|{_SPACE}$"
+
+
+class Memo:
+    """Ids of the pieces used most, in flat arrays; when it is full, the less used half goes."""
+
+    def __init__(self):
+        self.names, self.ids, self.used = pa.array([], pa.large_string()), pa.array([], pa.large_binary()), np.zeros(0, np.int64)
+
+    def lookup(self, names: pa.Array, counts: np.ndarray, fresh) -> pa.Array:
+        """Ids of each of the distinct names, which occur counts times; ``fresh`` gives those that are not known."""
+        place = pc.index_in(names, value_set=self.names)
+        new = place.is_null().to_numpy(zero_copy_only=False)
+        place = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        place[new] = len(self.names) + np.arange(int(new.sum()))
+        added = names.filter(pa.array(new))
+        ids = pa.concat_arrays([self.ids, fresh(added)])
+        out = ids.take(pa.array(place))
+        self.names, self.ids = pa.concat_arrays([self.names, added]), ids
+        self.used = np.concatenate([self.used, np.zeros(len(added), np.int64)])
+        self.used[place] += counts
+        if len(self.used) > MEMO:
+            stay = np.sort(np.argpartition(-self.used, MEMO // 2)[: MEMO // 2])
+            self.names, self.ids, self.used = self.names.take(pa.array(stay)), self.ids.take(pa.array(stay)), self.used[stay] // 2
+        return out
+
+
+_memo = [Memo()]
 
 
 def _forget() -> None:
     _ready.clear()
-    _memo[:] = {}, {}
+    _memo[0] = Memo()
+
+
+def _newline(t) -> int | None:
+    """The id of a line end, if the tokenizer's own description shows that a text may be cut before each single space or
+    line end between other characters: byte-level pre-tokens by its usual pattern, and nothing that looks further."""
+    import json
+
+    said = json.loads(t.to_str())
+    pre, model = said.get("pre_tokenizer") or {}, said.get("model") or {}
+    plain = not any(said.get(k) for k in ("normalizer", "post_processor", "truncation", "padding")) and not model.get("dropout")
+    level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and model.get("type") == "BPE"
+    marks = all(not (x.get("lstrip") or x.get("rstrip") or x.get("normalized") or x.get("single_word")) and not re.search(r"\s", x["content"]) for x in said.get("added_tokens") or ())
+    ids = t.encode("\n", add_special_tokens=False).ids
+    return ids[0] if plain and level and marks and len(ids) == 1 else None
 
 
 def _tokenizer(path: str):
+    """The tokenizer, the type of its ids, and its line end (None: texts must be encoded whole)."""
     if path not in _ready:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        _ready.clear()
-        _memo[:] = {}, {}
-        _ready[path] = t, np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
+        if hasattr(t.model, "_resize_cache"):
+            t.model._resize_cache(0)  # its own memo of 10,000 pieces would hold what ``Memo`` has already sorted out
+        _forget()
+        _ready[path] = t, np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4"), _newline(t)
     return _ready[path]
 
 
@@ -67,99 +114,91 @@ def _direct(texts: list[str], t, kind) -> list[bytes]:
     return [np.array(e.ids, kind).tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def _spaced_words(found: list[str], t, kind, group: int = 2000) -> list[bytes]:
-    """Ids of " " + each word of letters. A space and letters are one pre-token, so many words are encoded as one text and
-    told apart by the numbers of their pre-tokens; a group that counts otherwise is encoded word by word."""
-    out: list[bytes] = []
-    groups = [found[i : i + group] for i in range(0, len(found), group)]
-    for own, e in zip(groups, t.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
-        numbers = e.word_ids
-        if numbers and None not in numbers and numbers[-1] == len(own) - 1:
-            ids, size = np.array(e.ids, kind).tobytes(), kind.itemsize
-            cut = (np.searchsorted(np.array(numbers), np.arange(len(own) + 1)) * size).tolist()
-            out += [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
-        else:
-            out += _direct([" " + w for w in own], t, kind)
-    return out
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Array of byte strings that lie one after the other in data, from their ends in items."""
+    off = np.zeros(len(ends) + 1, np.int64)
+    off[1:] = ends * data.dtype.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def _piece_ids(pieces: list[str], t, kind) -> list[bytes]:
-    """Ids of a space and each piece. A piece of letters and one final mark is looked up as its two parts.
+def _listed(pieces: list[str], t, kind, newline: int, group: int = 2000) -> pa.Array:
+    """Ids of pieces without white space but a line end that all or none of them begin with.
 
-    What a full memo held is still found, and kept on, while the next one fills, so frequent pieces stay.
+    Many are encoded as one text, one on a line, and told apart by the line ends' ids; a group that counts otherwise is
+    encoded piece by piece.
     """
-    if len(_memo[0]) > MEMO:
-        _memo[:] = {}, _memo[0]
-    new, old = _memo
-    out = list(map(new.get, pieces))
-    letters: dict[str, None] = {}
-    others: dict[str, None] = {}
-    split, whole = [], []
-    for i, x in enumerate(out):
-        if x is None:
-            p = pieces[i]
-            x = old.get(p)
-            if x is not None:
-                new[p] = out[i] = x
-            elif p.isalpha():
-                whole.append(i)
-                letters[p] = None
-            elif p[-1:] in (".", ",") and p[:-1].isalpha():
-                split.append(i)
-                if p[:-1] not in new:
-                    if p[:-1] in old:
-                        new[p[:-1]] = old[p[:-1]]
-                    else:
-                        letters[p[:-1]] = None
-            else:
-                whole.append(i)
-                others[p] = None
-    new.update(zip(letters, _spaced_words(list(letters), t, kind), strict=True))
-    new.update(zip(others, _direct([" " + p for p in others], t, kind), strict=True))
-    marks = dict(zip(".,", _direct([".", ","], t, kind), strict=True))
-    for i in whole:
-        out[i] = new[pieces[i]]
-    for i in split:
-        p = pieces[i]
-        out[i] = new[p] = new[p[:-1]] + marks[p[-1]]
-    return out
+    lined = bool(pieces) and pieces[0][0] == "\n"
+    out, groups = [], [pieces[i : i + group] for i in range(0, len(pieces), group)]
+    for own, e in zip(groups, t.encode_batch_fast(["".join(g) if lined else " " + "\n ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, kind)
+        at = np.flatnonzero(ids == newline)
+        if lined and len(at) == len(own) and at[0] == 0:
+            out.append(_binary(ids, np.append(at[1:], len(ids))))
+        elif not lined and len(at) == len(own) - 1:
+            out.append(_binary(np.delete(ids, at), np.append(at, len(ids)) - np.arange(len(own))))
+        else:
+            out.append(pa.array(_direct(own if lined else [" " + p for p in own], t, kind), pa.large_binary()))
+    return pa.concat_arrays(out) if out else pa.array([], pa.large_binary())
+
+
+def _fresh(names: pa.Array, t, kind, newline: int) -> pa.Array:
+    """Ids of each piece: as it is if it begins with a line end, else after a space."""
+    lined = pc.starts_with(names, "\n").to_numpy(zero_copy_only=False)
+    inner = pc.match_substring_regex(names, "(?s)." + _SPACE).to_numpy(zero_copy_only=False)
+    kinds = [np.flatnonzero(~lined & ~inner), np.flatnonzero(lined & ~inner), np.flatnonzero(inner)]
+    found = [_listed(names.take(pa.array(k)).to_pylist(), t, kind, newline) for k in kinds[:2]]
+    rest = names.take(pa.array(kinds[2])).to_pylist()
+    found.append(pa.array(_direct([p if p[0] == "\n" else " " + p for p in rest], t, kind), pa.large_binary()))
+    return pa.concat_arrays(found).take(pa.array(np.argsort(np.concatenate(kinds))))
+
+
+def _known(names: pa.Array, counts: np.ndarray, t, kind, newline: int) -> pa.Array:
+    """Ids of each piece, by way of the memo; a word of letters and one final mark is looked up as its two parts."""
+    marked = pc.match_substring_regex(names, r"^\n?\p{L}+[.,]$")
+    stems = pc.if_else(marked, pc.utf8_slice_codeunits(names, 0, -1), names).dictionary_encode()
+    place = stems.indices.to_numpy()
+    ids = _memo[0].lookup(stems.dictionary, np.bincount(place, counts, len(stems.dictionary)).astype(np.int64), lambda x: _fresh(x, t, kind, newline)).take(stems.indices)
+    dot, comma = (pa.scalar(x, pa.large_binary()) for x in _direct([".", ","], t, kind))
+    none = pa.scalar(b"", pa.large_binary())
+    return pc.binary_join_element_wise(ids, pc.if_else(marked, pc.if_else(pc.ends_with(names, "."), dot, comma), none), none)
 
 
 def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts with END after each, in one array, and the n + 1 offsets of the texts in it."""
-    t, kind = _tokenizer(path)
+    t, kind, newline = _tokenizer(path)
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    split = pc.split_pattern(texts, " ")
-    off = split.offsets.to_numpy()
-    off = off - off[0]
-    pieces = split.flatten()
-    first = np.zeros(len(pieces), bool)
-    first[off[:-1][np.diff(off) > 0]] = True  # split gives one piece at least
-    coded = pc.dictionary_encode(pieces)
-    place, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
-    odd = np.array([not p or p[0].isspace() or p[-1].isspace() for p in names], bool)
-    per_doc = np.add.reduceat(odd[place], off[:-1]) if len(place) else np.zeros(0, int)
-    lead = np.flatnonzero(first)
-    heads = [names[i] for i in place[lead]]  # the first piece of a text has no space before it
-    ids = _piece_ids(names, t, kind) + _direct(heads, t, kind)
-    place[lead] = len(names) + np.arange(len(lead))
-    slow = np.flatnonzero(per_doc > 0)
-    if len(slow):
-        rows = texts.take(pa.array(slow)).to_pylist()
-        whole = _direct(rows, t, kind)
-        place[np.concatenate([np.arange(off[i], off[i + 1]) for i in slow])] = len(ids)
-        place[off[slow]] = len(ids) + 1 + np.arange(len(slow))
-        ids += [b"", *whole]
-    last = len(ids)
-    ids.append(np.array([END], kind).tobytes())
-    seq = np.insert(place, off[1:], last)
-    lens = np.fromiter(map(len, ids), np.int64, len(ids)) // kind.itemsize
-    flat = np.frombuffer(b"".join(ids), kind)
-    begin = np.concatenate([[0], np.cumsum(lens)[:-1]])
-    size = lens[seq]
-    total = np.concatenate([[0], np.cumsum(size)])
-    out = flat[np.repeat(begin[seq] - total[:-1], size) + np.arange(total[-1])]
-    return out, total[np.concatenate([[0], off[1:] + np.arange(1, len(off))])]
+    end = np.array([END], kind).tobytes()
+    if newline is None or not len(texts):
+        each = pa.array([x + end for x in _direct(texts.to_pylist(), t, kind)], pa.large_binary())
+        docs = np.arange(len(texts) + 1)
+    else:
+        # a line end is put before each text, so that its first piece is none of its own kind, and taken off again
+        lines = pc.binary_join_element_wise(*(pa.scalar(x, pa.large_string()) if isinstance(x, str) else x for x in ("\n", pc.replace_substring(texts, "\n", " \n"), "")))
+        split = pc.split_pattern(lines, " ")
+        off = split.offsets.to_numpy()
+        off = off - off[0]
+        coded = split.flatten().dictionary_encode()
+        del lines, split
+        names, place = coded.dictionary, coded.indices.to_numpy()
+        odd = pc.match_substring_regex(names, _ODD).to_numpy(zero_copy_only=False)
+        good = np.flatnonzero(~odd)
+        ids = _known(names.take(pa.array(good)), np.bincount(place, minlength=len(names))[good], t, kind, newline)
+        to = np.full(len(names), len(good), np.int64)  # odd pieces: nothing
+        to[good] = np.arange(len(good))
+        whole = np.flatnonzero(np.add.reduceat(odd[place], off[:-1]) > 0)
+        heads, head_of = np.unique(to[place[off[:-1]]], return_inverse=True)
+        rest = [b"", end, *(x[kind.itemsize :] for x in pa.concat_arrays([ids, pa.array([b""], pa.large_binary())]).take(pa.array(heads)).to_pylist())]
+        rest += _direct(texts.take(pa.array(whole)).to_pylist(), t, kind)
+        seq = to[place]
+        seq[off[:-1]] = len(good) + 2 + head_of
+        if len(whole):
+            seq[np.concatenate([np.arange(off[i], off[i + 1]) for i in whole])] = len(good)
+            seq[off[whole]] = len(good) + 2 + len(heads) + np.arange(len(whole))
+        seq = np.insert(seq, off[1:], len(good) + 1)
+        each = pa.concat_arrays([ids, pa.array(rest, pa.large_binary())]).take(pa.array(seq))
+        docs = off + np.arange(len(off))
+    ends = np.frombuffer(each.buffers()[1], np.int64, len(each) + 1, each.offset * 8) // kind.itemsize
+    return np.frombuffer(each.buffers()[2], kind)[ends[0] : ends[-1]], ends[docs] - ends[0]
 
 
 def rolling(ids: np.ndarray) -> np.ndarray:
@@ -221,7 +260,7 @@ def _encode(path: str):
         squeeze = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False, write_dict_id=False)
         words.claim("tokens", _forget)
         seen: set[bytes] = set()
-        for b in (s for x in it for s in words.batches([x], 16 << 20)):
+        for b in (s for x in it for s in words.batches([x], BATCH)):
             ids, off = encode(b.column(1), path)
             texts = words.blobs(b.column(1))
             hashes, lens, names, blobs, sizes = [], [], [], [], []
