@@ -6,13 +6,13 @@ input. Null text has no words. Rows with a null doc_id count as later than all o
 each other. Rows that repeat a doc_id are judged each on its own text. An empty table gives an empty result; other
 columns are ignored.
 
-Plan. (1) One scan hashes the windows of half the length (25). Every window of 50 holds 26 of these, and the smallest
-hash of the 26 is kept: equal windows keep equal hashes, so nothing is lost, and about one hash in thirteen words
-leaves the scan. (2) Only hashes that occur in two documents survive; windows of 50 around them alone are extended and
-hashed. With ``levels`` above 1 the first level is shorter and each survivor is extended to twice its length in turn,
-until the full length or until no candidates survive. (3) Of the full windows the smallest doc_id per hash is
+Plan. (1) One scan hashes the windows of the first level (with ``levels`` = 2: 13 words). Every window of 50 holds 38 of
+these, and the smallest hash of the 38 is kept: equal windows keep equal hashes, so nothing is lost, and about one hash in
+nineteen words leaves the scan. (2) Only hashes that occur in two documents survive; the windows around them alone are extended to
+twice the length (25) and, where those survive too, to the full 50, or until no candidates survive. (3) Full windows have names of 128
+bits and one row a document, however often they recur in it. The smallest doc_id per name is
 pre-aggregated and joined back; equal texts are settled before that by their whole word sequence, so that copies are not
-cut into windows at all. Hot sequences are only ever aggregated or joined by equal keys that Spark can split.
+cut into windows at all. Names with very many rows, a bounded number of them, are met by broadcast, so no task gets all rows of one.
 """
 
 from __future__ import annotations
@@ -58,6 +58,11 @@ def _short(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
+def _names(own: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each window of length words from at on: two hashes of independent forms of the words' hashes."""
+    return words.windows(own, length)[at], words.windows(words.mix(own ^ np.uint64(0x5851F42D4C957F2D)), length)[at]
+
+
 def _first(length: int, level: int):
     def run(it):
         for b in (s for x in it for s in words.batches([x])):
@@ -95,14 +100,21 @@ def _extend(length: int, level: int, target: int):
                 low = floor_of(words.windows(own, level), length - level + 1)
                 at = np.flatnonzero(np.isin(low.view(np.int64), np.array(live[i], np.int64)))
                 if len(at):
-                    h = floor_of(words.windows(own, target), length - target + 1)[at].view(np.int64)
                     ords.append(b.column(0)[i].as_py())
                     k8.append(k)
                     texts.append(b.column(1)[i].as_py())
-                    starts.append(at.astype(np.int32))
-                    hashes.append(h)
+                    if target < length:
+                        hashes.append(np.unique(floor_of(words.windows(own, target), length - target + 1)[at]).view(np.int64))
+                        starts.append(None)
+                    else:  # a window that recurs in the document is one entry with all of its starts
+                        names = _names(own, at, length)
+                        by = np.lexsort(names)
+                        first = np.flatnonzero(np.concatenate([[True], (np.diff(names[0][by]) != 0) | (np.diff(names[1][by]) != 0)]))
+                        hashes.append([a.tobytes() + b.tobytes() for a, b in zip(names[0][by[first]], names[1][by[first]], strict=True)])
+                        starts.append([x.astype(np.int32) for x in np.split(at[by], first[1:])])
+            kind = pa.int64() if target < length else pa.binary()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ords, pa.int64()), pa.array(k8, pa.int64()), pa.array(texts, pa.string()), pa.array(starts, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
+                [pa.array(ords, pa.int64()), pa.array(k8, pa.int64()), pa.array(texts, pa.string()), pa.array(starts, pa.list_(pa.list_(pa.int32()))), pa.array(hashes, pa.list_(kind))],
                 names=["ord", "k8", "text", "starts", "hashes"],
             )
 
@@ -129,11 +141,11 @@ def _keep(length: int):
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Hashes (h) that occur in two documents, with the smallest doc_id."""
-    return rows.groupBy("h").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi")
+    """Hashes (h) that occur in two documents, settled, with the smallest doc_id and the number of their rows."""
+    return store.settle(rows.groupBy("h").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi").drop("hi"), "shared")
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, levels: int = 1) -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, length: int = LENGTH, levels: int = 2) -> tuple[DataFrame, DataFrame]:
     """(all, changed). all: ord, doc_id, key, k8, n, sha and first (smallest ord with that word sequence) of each row;
     changed: ord, k8, n_removed, kept_sha256 and kept (the words that stay) of those that lose some but not by being a
     copy of a whole earlier document."""
@@ -145,13 +157,14 @@ def repeats(docs: DataFrame, length: int = LENGTH, levels: int = 1) -> tuple[Dat
     heads = known.where((F.col("ord") == F.col("first")) & (F.col("n") >= length)).select("ord", "k8", F.explode("anchors").alias("h"))
     rows, pool = store.settle(heads.distinct(), "level"), texts
     for level, target in zip(lengths, lengths[1:], strict=False):
-        live = rows.join(_shared(rows).select("h"), "h").groupBy("ord", "k8").agg(F.collect_set("h").alias("live"))
-        found = pool.join(live, ["ord"] if pool is texts else ["ord", "k8"]).select("ord", "text", "live", "k8").mapInArrow(_extend(length, level, target), "ord long, k8 long, text string, starts array<int>, hashes array<long>")
+        live = store.meet(rows, _shared(rows), "h", "c").groupBy("ord", "k8").agg(F.collect_set("h").alias("live"))
+        kind = "array<long>" if target < length else "array<binary>"
+        found = pool.join(live, ["ord"] if pool is texts else ["ord", "k8"]).select("ord", "text", "live", "k8").mapInArrow(_extend(length, level, target), f"ord long, k8 long, text string, starts array<array<int>>, hashes {kind}")
         pool = store.settle(found, "level")
-        rows = pool.select("ord", "k8", F.explode(F.arrays_zip("hashes", "starts")).alias("w")).select("ord", "k8", F.col("w.hashes").alias("h"), F.col("w.starts").alias("at"))
         if target < length:
-            rows = rows.select("ord", "k8", "h").distinct()
-    hits = rows.join(_shared(rows), "h").where("ord > lo").groupBy("ord", "k8").agg(F.collect_set("at").alias("at"))
+            rows = pool.select("ord", "k8", F.explode("hashes").alias("h"))
+    rows = pool.select("ord", "k8", F.explode(F.arrays_zip("hashes", "starts")).alias("w")).select("ord", "k8", F.col("w.hashes").alias("h"), F.col("w.starts").alias("at"))
+    hits = store.meet(rows, _shared(rows), "h", "c").where("ord > lo").groupBy("ord", "k8").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
     changed = pool.select("ord", "k8", "text").dropDuplicates(["ord", "k8"]).join(hits, ["ord", "k8"]).select("ord", "k8", "text", "at").mapInArrow(_keep(length), "ord long, k8 long, n_removed long, kept_sha256 string, kept string")
     return known, changed
 
