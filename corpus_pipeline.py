@@ -22,5 +22,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the last stage returns: doc_id, start, n_tokens, ids_crc32 of each document of the mixed corpus."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = store.settle(stage(spark, docs, sf_dir), name)
+        before, path = store.mark(), store.place(spark, name)
+        docs = store.settle_at(stage(spark, docs, sf_dir), path)
+        store.sweep(spark, before, keep=path)  # what the stage has written on its way
     return docs
