@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from driftline.config import Settings
 from driftline.functions import codec, geo, timing
 from driftline.functions.text import seconds
+from driftline.operators import cuts
 
 
 def routes(od_routes: DataFrame, s: Settings = Settings()) -> DataFrame:
     """route_id (1, 2, ... by od_id), od_id, geom of routes with two vertices at least, simplified."""
     kept = od_routes.where("route_geom is not null").where(geo.n_points(F.col("route_geom")) >= 2)
-    ids = kept.select("od_id", F.dense_rank().over(Window.orderBy("od_id")).alias("route_id"))  # ids alone are ordered in one task
+    ids = cuts.numbered(kept.select("od_id").distinct(), "route_id", "od_id")
     simple = kept.join(ids, "od_id").select("route_id", "od_id", codec.simplified(F.col("route_geom"), s.simplify_deg).alias("geom"))
     return simple.withColumn("geom", geo.drop_repeats(F.col("geom")))
 
@@ -54,6 +55,17 @@ def meta(trips: DataFrame, n_routes: DataFrame, n_trips: DataFrame, s: Settings
     return p.crossJoin(n_routes.agg(F.count(F.lit(1)).alias("n_routes"))).crossJoin(n_trips.agg(F.count(F.lit(1)).alias("n_trips")))
 
 
+def first_trips(trips: DataFrame, most: int) -> DataFrame:
+    """The first trips by start and ride_id; all if most is 0."""
+    return trips.orderBy("starting_time", "ride_id").limit(most) if most else trips
+
+
+def change_points(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """Rows of a table ordered by key and order at which the key differs from the row before: the first of each run, with its
+    number of rows. Sorted by key, a run is a group, so no window over the whole table is needed."""
+    return rows.groupBy(key).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows"))
+
+
 def sampled(tl: DataFrame, buckets: int = Settings.buckets, slices: int = 64) -> DataFrame:
     """With samp: the place of a trip within its day, by t0 and ride_id, modulo the number of buckets.
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.operators import cuts
+
 
 def between_stations(trips: DataFrame, st: DataFrame) -> DataFrame:
     """Trips whose both ends are known stations, by id and name, with their sids. The station table is small
@@ -21,8 +23,8 @@ def od_pairs(trips: DataFrame) -> DataFrame:
 
 
 def numbered(pairs: DataFrame) -> DataFrame:
-    """With od_id (1, 2, ... by start and end). At most one row a pair of stations, so a task holds them."""
-    return pairs.withColumn("od_id", F.row_number().over(Window.orderBy("start_sid", "end_sid")).cast("long"))
+    """With od_id (1, 2, ... by start and end)."""
+    return cuts.numbered(pairs, "od_id", "start_sid", "end_sid")
 
 
 def top(pairs: DataFrame, n: int) -> DataFrame:

@@ -143,10 +143,9 @@ def gate_metrics(spark, sf):
 
 @query
 def dense_ids(spark, sf):
-    from pyspark.sql import Window
-
-    rank = F.dense_rank().over(Window.orderBy("start_sid")).cast("long")
-    return fx.od(spark, sf).select("od_id", "start_sid", "end_sid", rank.alias("start_rank"))
+    od = fx.od(spark, sf)
+    ranks = cuts.numbered(od.select("start_sid").distinct(), "start_rank", "start_sid")
+    return od.join(ranks, "start_sid").select("od_id", "start_sid", "end_sid", "start_rank")
 
 
 @query
@@ -203,7 +202,9 @@ def knn_snap(spark, sf):
 
 
 def _centrelines(spark, sf) -> DataFrame:
-    return fx.edges(spark, sf).where("id % 3 = 0 and source < target").select(F.col("id").alias("cl_id"), F.col("geom").alias("geom_m"))
+    """A short slanting line through every vertex."""
+    ends = F.array(geo.point(F.col("x") - 500, F.col("y") + 300), geo.point(F.col("x") + 500, F.col("y") - 300))
+    return fx.vertices(spark, sf).select(F.col("id").alias("cl_id"), ends.alias("geom_m"))
 
 
 def _edge_trips(spark, sf) -> DataFrame:
@@ -320,14 +321,12 @@ def endpoint_cluster(spark, sf):
 
 
 def _tl(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(trips, routes by od_id, clocked trips); a route is the straight line between two stations of different vertices."""
+    """(trips, routes by od_id, clocked trips); a route is the straight line between two stations."""
     t, st = fx.valid_trips(spark, sf), fx.stations(spark, sf)
     od = fx.od(spark, sf)
     a, b = st.select(F.col("sid").alias("start_sid"), F.col("geom").alias("g1")), st.select(F.col("sid").alias("end_sid"), F.col("geom").alias("g2"))
-    rts = od.join(a, "start_sid").join(b, "end_sid").where("od_id % 5 <> 0").select("od_id", "start_sid", "end_sid", F.array("g1", "g2").alias("geom"))
-    from pyspark.sql import Window
-
-    rts = rts.withColumn("route_id", F.dense_rank().over(Window.orderBy("od_id")))
+    rts = od.join(a, "start_sid").join(b, "end_sid").select("od_id", "start_sid", "end_sid", F.array("g1", "g2").alias("geom"))
+    rts = cuts.numbered(rts, "route_id", "od_id")
     return t, rts, timelapse.clocked(t, od, rts, CLOCK)
 
 

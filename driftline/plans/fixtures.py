@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions import geo
 from driftline.operators import clean, spatial, trips
-from driftline.operators.cuts import cut
+from driftline.operators.cuts import numbered
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,21 +43,12 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points(spark, sf_dir).where("id >= 100").select("id", "x", "y", "geom")
 
 
-def _numbered(rows: DataFrame, name: str, *order: str) -> DataFrame:
-    """With ``name``: 1, 2, ... in the given order, which is total. Rows are dealt into ranges; only a count a range meets in one task."""
-    dealt = cut(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"))
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return dealt.withColumn("_r", place).join(F.broadcast(counts), "_part").withColumn(name, (F.col("_r") + F.col("_n")).cast("long")).drop("_part", "_r", "_n")
-
-
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, source, target, cost, reverse_cost (closed), geom: from each vertex to its four nearest."""
     v = vertices(spark, sf_dir)
     a, b = v.select(F.col("id").alias("s"), F.col("geom").alias("a")), v.select(F.col("id").alias("t"), F.col("geom").alias("b"))
     near = spatial.nearest_others(v, "id", "geom", 4).select(F.col("id").alias("s"), F.col("target").alias("t"), F.round(F.sqrt("d2")).cast("long").alias("w"))
-    near = _numbered(near.join(a, "s").join(b, "t"), "id", "s", "t")
+    near = numbered(near.join(a, "s").join(b, "t"), "id", "s", "t")
     return near.select("id", F.col("s").alias("source"), F.col("t").alias("target"), F.col("w").alias("cost"), F.lit(-1).cast("long").alias("reverse_cost"), F.array("a", "b").alias("geom"))
 
 

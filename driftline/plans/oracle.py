@@ -11,7 +11,7 @@ _RAW = """raw as (
 _TRIPS = _RAW + """, trips as (select * from raw where ending_time > starting_time and ending_time - starting_time <= interval 24 hour)"""
 _POINTS = """points as (
   select vec_id as id, label, cast(round(cast(embedding[1] as double) * 100000) as bigint) as x, cast(round(cast(embedding[2] as double) * 100000) as bigint) as y
-  from embeddings where vec_id < 500)"""
+  from embeddings)"""
 _OD = _TRIPS + """, pairs as (select start_sid, end_sid, count(*) as trip_count from trips where start_sid <> end_sid group by all),
 od as (select *, row_number() over (order by start_sid, end_sid) as od_id from pairs)"""
 _EDGES = _POINTS + """, edges as (
@@ -37,7 +37,7 @@ walk(source, target, v, id) as (
   union all
   select w.source, w.target, e.s, p.id from walk w join pred p on p.o = w.source and p.n = w.v join edges e on e.id = p.id where w.v <> w.source),
 reached as (select distinct source, target from walk where v = source)"""
-_MID = """cl as (select id as cl_id, ax, ay, bx, by_, sqrt(((ax-bx)**2 + (ay-by_)**2)::double) as len from edges where id % 3 = 0 and s < t),
+_MID = """cl as (select id as cl_id, x - 500 as ax, y + 300 as ay, x + 500 as bx, y - 300 as by_, sqrt((1000**2 + 600**2)::double) as len from points where id >= 100),
 mids as (select id, (id * 37) % 101 + 1 as total_trips, (ax + bx) / 2.0::double as mx, (ay + by_) / 2.0::double as my, sqrt(((ax-bx)**2 + (ay-by_)**2)::double) as len from edges),
 near as (
   select m.id, m.total_trips, m.len, cl_id, cl.len as cl_len,
@@ -52,7 +52,7 @@ label(n, c) using key (n) as (
   select distinct s, s from links
   union
   (select l.t, min(label.c) from label join links l on l.s = label.n left join recurring.label p on p.n = l.t where p.c is null or label.c < p.c group by 1))"""
-_TL = _OD + f""", {_POINTS}, routes as (select *, dense_rank() over (order by od_id) as route_id from od where od_id % 5 <> 0),
+_TL = _OD + f""", {_POINTS}, routes as (select *, dense_rank() over (order by od_id) as route_id from od),
 period as (select min(starting_time) as t_min, max(ending_time) as t_max, epoch_us(max(ending_time)) - epoch_us(min(starting_time)) as us from trips where starting_time >= timestamp '2024-01-02'),
 tl as (
   select ride_id, route_id, cast((epoch_us(starting_time) - epoch_us(t_min)) / 1e6::double / (us / 1e6::double) * 180 as float) as t0,

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from fnmatch import fnmatchcase
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftline.functions import geo
 from driftline.functions.geo import LINE, POINT
 
-#: Columns of a raw trip, all read as text.
+#: Columns of a raw trip, all read as text. The names in the public files.
 TRIP_COLUMNS = (
     "ride_id", "rideable_type", "started_at", "ended_at", "start_station_name", "start_station_id", "end_station_name",
     "end_station_id", "start_lat", "start_lng", "end_lat", "end_lng", "member_casual",
@@ -39,13 +43,51 @@ def normalised_header(df: DataFrame) -> DataFrame:
     return df.toDF(*(c.strip().lower() for c in df.columns))
 
 
+def files(spark: SparkSession, path: str, name_like: str) -> list[str]:
+    """Files under a path (or glob), sorted, whose names match; hidden ones and those that begin with "._" or "_" are left out."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for found in fs.globStatus(p) or []:
+        each = fs.listFiles(found.getPath(), True)
+        while each.hasNext():
+            f = each.next().getPath()
+            if fnmatchcase(f.getName(), name_like) and f.getName()[0] not in "._":
+                out.append(f.toString())
+    return sorted(out)
+
+
+def header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Names in the first line of a file, stripped and in lower case."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p), "UTF-8"))
+    try:
+        line = reader.readLine() or ""
+    finally:
+        reader.close()
+    return tuple(c.strip().lower() for c in next(csv.reader([line.lstrip("\ufeff")]), []))
+
+
 def csv_trips(spark: SparkSession, path: str, name_like: str = "*.csv") -> DataFrame:
-    """Raw trips of all files under path whose names match, all columns text, with the file (source_file) and its
-    order. Hidden files and those that begin with "._" are left out; expected columns that a file lacks are null."""
-    df = spark.read.option("header", True).option("pathGlobFilter", name_like).option("recursiveFileLookup", True).option("mergeSchema", True).csv(path)
-    df = df.select("*", F.col("_metadata.file_name").alias("source_file"))
-    df = normalised_header(df).where(~F.col("source_file").startswith("._"))
-    return df.select(*(F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in TRIP_COLUMNS), "source_file")
+    """Raw trips of all files under path whose names match, all columns text, with the file's name (source_file). Columns are
+    found by the names in each file's own first line, so files may order them differently; expected ones that a file lacks are null.
+
+    The driver reads one line a file; files with the same first line are one scan. No file is an error.
+    """
+    names = files(spark, path, name_like)
+    if not names:
+        raise FileNotFoundError(f"no {name_like} under {path}")
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: header(spark, f), names))
+    out = None
+    for own in sorted(set(headers)):
+        schema = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(own))])
+        df = spark.read.option("header", True).schema(schema).csv([f for f, h in zip(names, headers, strict=True) if h == own])
+        columns = [(F.col(f"_{own.index(c)}") if c in own else F.lit(None).cast("string")).alias(c) for c in TRIP_COLUMNS]
+        df = df.select(*columns, F.col("_metadata.file_name").alias("source_file"))
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def zipped_csv(spark: SparkSession, path: str, prefixes: tuple[str, ...] = ("",)) -> DataFrame:
@@ -79,10 +121,11 @@ def zipped_csv(spark: SparkSession, path: str, prefixes: tuple[str, ...] = ("",)
 _GEOMETRY = "struct<type:string, coordinates:string>"
 
 
-def geojson(spark: SparkSession, path: str, properties: dict[str, str], kind: str) -> DataFrame:
-    """Features with the given properties (new name -> name in the file; absent ones are null) and ``geom``.
+def geojson(spark: SparkSession, path: str, properties: dict[str, str], kind: str, utm_zone: int | None = None) -> DataFrame:
+    """Features with the given properties (new name -> name in the file; absent ones are null) and ``geom`` in degrees.
 
-    kind: "point", "line" (multi-lines give a row a part) or "polygon" (multi-polygons give a row a part).
+    kind: "point", "line" (multi-lines give a row a part) or "polygon" (multi-polygons give a row a part). Coordinates are
+    taken as degrees whatever the file says, or as metres of a northern UTM zone and turned into degrees.
     """
     fields = ", ".join(f"`{v}`: string" for v in dict.fromkeys(properties.values()))
     schema = T.StructType.fromDDL(f"features array<struct<properties: struct<{fields}>, geometry: {_GEOMETRY}>>") if fields else None
@@ -98,7 +141,12 @@ def geojson(spark: SparkSession, path: str, properties: dict[str, str], kind: st
         parts = F.when(F.col("type") == "LineString", F.array(line(parsed[2]))).when(F.col("type") == "MultiLineString", F.transform(parsed[3], line))
     else:
         parts = F.when(F.col("type") == "Polygon", F.array(rings(parsed[3]))).when(F.col("type") == "MultiPolygon", F.transform(parsed[4], rings))
-    return raw.select(*(F.col(f"f.properties.`{old}`").alias(new) for new, old in properties.items()), F.explode(parts).alias("geom"))
+    out = raw.select(*(F.col(f"f.properties.`{old}`").alias(new) for new, old in properties.items()), F.explode(parts).alias("geom"))
+    if utm_zone is None:
+        return out
+    back = lambda p: geo.from_utm(p, utm_zone)
+    turned = {"point": back(F.col("geom")), "line": F.transform("geom", back), "polygon": F.transform("geom", lambda r: F.transform(r, back))}
+    return out.withColumn("geom", turned[kind])
 
 
 def wkt_polygon(text):
@@ -109,6 +157,13 @@ def wkt_polygon(text):
     return F.transform(rings, lambda r: F.transform(F.split(r, ","), lambda p: F.struct(F.get(xy(p), 0).cast("double").alias("x"), F.get(xy(p), 1).cast("double").alias("y"))))
 
 
+def wkt_polygons(text):
+    """Array of polygons of POLYGON or MULTIPOLYGON text; null for anything else."""
+    body = F.regexp_extract(text, r"(?i)^\s*(?:SRID=\d+;)?\s*MULTIPOLYGON\s*\(\s*(.*)\)\s*$", 1)
+    parts = F.transform(F.split(body, r"(?<=\))\s*,\s*(?=\(\s*\()"), lambda p: wkt_polygon(F.concat(F.lit("POLYGON "), p)))
+    return F.when(text.rlike(r"(?i)^\s*(SRID=\d+;)?\s*MULTIPOLYGON"), parts).when(text.rlike(r"(?i)^\s*(SRID=\d+;)?\s*POLYGON"), F.array(wkt_polygon(text)))
+
+
 def wkb_line(column):
     """LineString column of hex WKB (or EWKB) text; null for anything else, or under two points."""
     import struct
@@ -136,4 +191,4 @@ def in_box(df: DataFrame, column: str, west: float, south: float, east: float, n
     return df.where(F.col(f"{column}.x").between(west, east) & F.col(f"{column}.y").between(south, north))
 
 
-__all__ = ["LINE", "POINT", "TRIP_COLUMNS", "csv_trips", "exists", "first_existing", "geojson", "in_box", "normalised_header", "wkb_line", "wkt_polygon", "zipped_csv"]
+__all__ = ["LINE", "POINT", "TRIP_COLUMNS", "csv_trips", "exists", "files", "first_existing", "geojson", "header", "in_box", "normalised_header", "wkb_line", "wkt_polygon", "wkt_polygons", "zipped_csv"]
