@@ -192,8 +192,8 @@ def _across(crowded: DataFrame, found: DataFrame, reps: DataFrame, texts: DataFr
     label = store.settle(label, "label")
     parts = label.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     split = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    split = split.select("band", F.col("top.component").alias("top"), F.ceil(F.col("all") / SIDE).alias("others"), F.ceil((F.col("all") - F.col("top.n")) / SIDE).alias("minors"))
-    rows = label.join(split, "band").join(reps.select("rep", "sig"), "rep")
+    split = split.select("band", "all", F.col("top.component").alias("top"), F.ceil(F.col("all") / SIDE).alias("others"), F.ceil((F.col("all") - F.col("top.n")) / SIDE).alias("minors"))
+    rows = store.meet(label, store.settle(split, "split"), "band", "all").join(reps.select("rep", "sig"), "rep")
     every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     one = lambda n: F.array(F.pmod(F.xxhash64("rep"), F.col(n)))
     dealt = lambda role, i, j: F.transform(i, lambda x: F.struct(F.lit(role).alias("role"), x.alias("i"), j.alias("j")))
@@ -244,12 +244,12 @@ def _stars(edges: DataFrame) -> bool:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text); see the module."""
     all_ = store.settle(sketches(docs), "sketches")
-    classes = all_.where("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("rep"), "sig")).alias("x"))
-    reps = store.settle(classes.select("key", "x.rep", "x.sig"), "classes")
+    classes = all_.where("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("rep"), "sig")).alias("x"), F.count(F.lit(1)).alias("copies"))
+    reps = store.settle(classes.select("key", "x.rep", "x.sig", "copies"), "classes")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring(F.col("sig"), i * (4 * ROWS) + 1, F.lit(4 * ROWS)), i))
     rows = reps.select("rep", F.posexplode(band).alias("b", "band"))
-    sizes = rows.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    buckets = store.settle(rows.join(sizes, "band"), "buckets")  # rows that share a bucket with another class
+    sizes = store.settle(rows.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "sizes")
+    buckets = store.settle(store.meet(rows, sizes, "band", "c").select("band", "rep", "b", "c"), "buckets")  # rows that share a bucket with another class
     few = buckets.where(F.col("c") <= SMALL).groupBy("band").agg(F.sort_array(F.collect_set("rep")).alias("r"))  # at most SMALL a row
     few = few.select(F.explode(F.flatten(F.transform("r", lambda x, i: F.transform(F.slice("r", i + 2, F.lit(SMALL)), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
     # a class that shares large buckets is like many others, and so a good centre
@@ -257,8 +257,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     weight = crowded.groupBy("rep").agg(F.sum("c").alias("w"))
     crowded = store.settle(crowded.join(weight, "rep"), "crowded")
     first = lambda *by: F.min(F.struct(*by, "rep"))["rep"]
-    centres = crowded.groupBy("band").agg(F.array(first(-F.col("w")), first(F.xxhash64("rep"))).alias("centres"))
-    tried = crowded.join(centres, "band").select("rep", F.explode("centres").alias("to")).where("rep <> to").select(*_pair("rep", "to"))
+    centres = crowded.groupBy("band").agg(F.array(first(-F.col("w")), first(F.xxhash64("rep"))).alias("centres"), F.count(F.lit(1)).alias("members"))
+    tried = store.meet(crowded, store.settle(centres, "centres"), "band", "members").select("rep", F.explode("centres").alias("to")).where("rep <> to").select(*_pair("rep", "to"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
     texts = store.settle(texts.join(buckets.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text")), "texts")
     links = confirmed(alike(few.union(tried).distinct(), reps), texts)
@@ -266,8 +266,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = _across(crowded, found, reps, texts)
     if more.take(1):
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    labels = reps.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
-    out = all_.select("doc_id", "n", "key").join(labels, "key", "left")
+    labels = reps.select("key", "rep", "copies").join(found.withColumnRenamed("node", "rep"), "rep", "left").where("copies > 1 or component <> rep")
+    labels = store.settle(labels.select("key", "copies", F.coalesce("component", "rep").alias("component")), "labels")  # all other rows are components of their own
+    out = store.meet(all_.select("doc_id", "n", "key"), labels, "key", "copies", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 

@@ -58,17 +58,18 @@ def settle_at(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def meet(rows: DataFrame, counted: DataFrame, key: str, count: str) -> DataFrame:
-    """rows joined by key with counted, which has one row a key and the number of its rows. Both are read twice: settle them.
+def meet(rows: DataFrame, counted: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) by key with counted, which has one row a key and the number of its rows. Both are read
+    twice: settle them.
 
     The hottest keys, a bounded number, are broadcast, so that no task gets all rows of one key; the others are shuffled.
     """
     hot = counted.where(F.col(count) > HOT).orderBy(F.desc(count), key).limit(MOST_HOT)
     if not hot.take(1):
-        return rows.join(counted, key)
+        return rows.join(counted, key, how)
     hot = settle(hot, "hot")
     names = F.broadcast(hot.select(key))
-    cold = rows.join(names, key, "left_anti").join(counted.join(names, key, "left_anti"), key)
+    cold = rows.join(names, key, "left_anti").join(counted.join(names, key, "left_anti"), key, how)
     return rows.join(F.broadcast(hot), key).unionByName(cold)
 
 

@@ -152,8 +152,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, levels: int = 2) -> tuple[Dat
     lengths = steps(length, levels)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.col("text").cast("string").alias("text"))
     known = store.settle(texts.mapInArrow(_first(length, lengths[0]), "ord long, key binary, k8 long, n long, sha string, anchors array<long>"), "sequences")
-    first = known.groupBy("key").agg(F.min("ord").alias("first"))
-    known = known.join(first, "key")
+    first = known.groupBy("key").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    known = store.meet(known, store.settle(first, "copies"), "key", "c", "left").withColumn("first", F.coalesce("first", "ord")).drop("c")
     heads = known.where((F.col("ord") == F.col("first")) & (F.col("n") >= length)).select("ord", "k8", F.explode("anchors").alias("h"))
     rows, pool = store.settle(heads.distinct(), "level"), texts
     for level, target in zip(lengths, lengths[1:], strict=False):

@@ -134,3 +134,36 @@ def test_pages(spark, sf):
         assert got[r.page_id] == " ".join(html.unescape(body).split())
     odd = spark.createDataFrame([(1, None, "u"), (1, "", "u"), (2, "<article><p>Hello there, this is text.</p></article>", None)], "page_id long, html string, url string")
     assert sorted((r.page_id, r.text) for r in htmlcrf.extract(odd, ["page_id", "url"]).collect()) == [(1, ""), (1, ""), (2, "Hello there, this is text.")]
+
+
+def test_deep_pages_take_linear_time():
+    page = "<div>" * 100_000 + "<p>One two three four five six seven eight nine ten.</p>" + "</div>" * 100_000
+    assert [t for t, _, _ in htmlcrf.blocks(page)] == ["One two three four five six seven eight nine ten."]
+    assert htmlcrf.blocks('<p>a<a "' * 50_000) == htmlcrf.blocks('<p>a<a "' * 50_000)
+    assert [t for t, _, _ in htmlcrf.blocks("<p>a</p>b <!-- c")] == ["a", "b"]
+
+
+def test_articles_in_layout_tables_and_plain_boxes():
+    body = "<h1>Title of this</h1><p>One two three four five six seven eight nine ten eleven.</p><p>And a second paragraph of the text that is long enough.</p>"
+    want = "Title of this One two three four five six seven eight nine ten eleven. And a second paragraph of the text that is long enough."
+    m = htmlcrf.model()
+    assert htmlcrf.main_text(m, f"<table><tr><td><ul><li><a href=x>Home</a></li></ul></td><td>{body}</td></tr></table>") == want
+    assert htmlcrf.main_text(m, f"<div><div>{body}</div></div>") == want
+
+
+def test_empty_pages(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string, text string")
+    assert htmlcrf.extract(pages, ["page_id", "url"]).count() == 0
+    some = spark.createDataFrame([(1, "u", None, "t"), (1, "u", "", "t"), (None, None, "<article><p>One two three four five six seven.</p></article>", None)], "page_id long, url string, html string, text string")
+    got = sorted((r.page_id or 0, r.text) for r in htmlcrf.extract(some, ["page_id", "url"]).collect())
+    assert got == [(0, "One two three four five six seven."), (1, ""), (1, "")]
+
+
+def test_repeated_ids_give_one_row_to_fit(spark, labelled):
+    docs, labels = labelled
+    many = docs.where("doc_id = 3").crossJoin(spark.range(500).select(F.col("id").alias("n"))).select("doc_id", F.concat("text", F.col("n").cast("string")).alias("text"))
+    all_ = docs.unionByName(many)
+    got = {r.doc_id: r.score for r in quality.scores(all_, labels).where("doc_id <> 3").collect()}
+    assert sum((got[i] >= 0.5) == (i % 4 != 1) for i in range(400) if i != 3) > 390
+    assert toxicity.toxicity(all_, labels).where("doc_id = 3").count() == 501
+    assert quality.scores(docs.limit(0), labels).count() == 0

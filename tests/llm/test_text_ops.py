@@ -447,3 +447,104 @@ def test_ranks(spark):
         for k, (v, i) in enumerate(own, 1):
             assert mine[i] == (k, before)
             before += v
+
+
+# 1
+
+
+def test_loopy_messages_are_near_the_exact_marginals():
+    """Against the sum over all states of small graphs with cycles."""
+    import itertools
+
+    rng = np.random.default_rng(4)
+    n, k = 5, len(pii.STATES)
+    chain, skip = [(0, 1), (1, 2), (3, 4)], [(0, 3), (1, 4)]
+    for _ in range(3):
+        unary, trans, same = rng.normal(size=(n, k)), rng.normal(size=(k, k)) * 0.5, np.eye(k) * 1.5
+        exact = np.zeros((n, k))
+        for states in itertools.product(range(k), repeat=n):
+            p = sum(unary[i, s] for i, s in enumerate(states))
+            p += sum(trans[states[i], states[j]] for i, j in chain) + sum(same[states[i], states[j]] for i, j in skip)
+            for i, s in enumerate(states):
+                exact[i, s] += np.exp(p)
+        exact /= exact.sum(1, keepdims=True)
+        got, _ = pii.marginals(unary, chain, skip, trans, same)
+        assert np.abs(got - exact).max() < 0.08
+
+
+def test_later_mentions_take_the_label_of_the_first():
+    m = pii.model()
+    right = wrong = lost = 0
+    for text, spans in pii.examples(200, seed=77):
+        found, seen = pii.base(text), set()
+        extra = pii.added(m, text, found)
+        for s, k, e in spans:
+            if k < 5 and text[s:e] in seen and not any(a < e and s < b for a, _, b in found):
+                hit = any(a < e and s < b and kind == k - 1 for a, kind, b in extra)
+                right, lost = right + hit, lost + (not hit)
+            seen.add(text[s:e])
+        wrong += sum(not any(a < e and s < b and kind == k - 1 for s, k, e in spans) for a, kind, b in extra)
+    assert right + lost > 50 and right >= 0.9 * (right + lost) and wrong <= 0.1 * right
+    text = "call phone 555-123-4567 and some more of it, then again 555-123-4567 for it; mail ana.ruiz42@host now, ana.ruiz42@host later"
+    assert [text[s:e] for s, _, e in pii.added(m, text, pii.base(text))] == ["555-123-4567"] * 2 + ["ana.ruiz42@host"] * 2
+
+
+# 7
+
+
+def test_pieces_give_the_ids_of_whole_texts():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = tokenstore.tokenizer_path()
+    t = Tokenizer.from_file(path)
+    odd = ["", None, " a", "a ", "\n", "\nb", "a\n\nb c", "a\n b", "a \nb", "x\ty z", "foo  bar", "a<|endoftext|>b <|endoftext|>\nq <|endoftext|>", "don't I'll we're\nI've 12,000.50!"]
+    odd += ["é ü\n中文 字 \U0001f600", "a" * 3000, "\r\n x\r\ny", "a\xa0b\xa0 c \u2028d\u3000 e", "x\x1c y\x85z", "a\nb\nc\n", "..\n,, ;; 'll 's a. b, c.\nd,\ne"]
+    for _ in range(2):  # the second time from the memo
+        ids, off = tokenstore.encode(pa.array(odd), path)
+        assert [ids[a:b].tolist() for a, b in zip(off, off[1:], strict=False)] == [[*e.ids, 2] for e in t.encode_batch([x or "" for x in odd], add_special_tokens=False)]
+
+
+@given(st.lists(st.text(alphabet="ab. ,\n\t'é\xa01!<", max_size=30), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_any_text_in_pieces(texts):
+    import pyarrow as pa
+
+    path = tokenstore.tokenizer_path()
+    t = tokenstore._tokenizer(path)[0]
+    ids, off = tokenstore.encode(pa.array(texts, pa.string()), path)
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:], strict=False)] == [[*e.ids, 2] for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_tokenizers_get_whole_texts():
+    import public_tokenizers
+    import pyarrow as pa
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, _, newline = tokenstore._tokenizer(path)
+    assert newline is None
+    texts = ["One  two\nthree", "", "a b"]
+    ids, off = tokenstore.encode(pa.array(texts), path)
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:], strict=False)] == [[*e.ids, 2] for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_hot_keys_are_met_by_broadcast(spark, monkeypatch):
+    from driftline.llm import store as s
+
+    monkeypatch.setattr(s, "HOT", 3)
+    monkeypatch.setattr(s, "MOST_HOT", 2)
+    rows = spark.createDataFrame([(k, i) for k, n in ((1, 9), (2, 2), (3, 5), (4, 4)) for i in range(n)] + [(7, 0)], "k long, i long")
+    counted = rows.where("k < 7").groupBy("k").agg(F.count("i").alias("c"), F.max("i").alias("top"))
+    assert as_set(s.meet(rows, counted, "k", "c").select("k", "i", "c", "top")) == as_set(rows.join(counted, "k").select("k", "i", "c", "top"))
+
+
+def test_unset_folder_is_an_error_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from driftline.llm import store as s
+
+    session = lambda master: SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(applicationId=f"app-{master}", master=master))
+    assert s.root(session("local[4]")).endswith("driftline-app-local[4]")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            s.root(session(master))
