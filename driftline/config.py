@@ -22,6 +22,12 @@ class Settings:
     min_component: int = 50_000
     # routing: 0 means all pairs
     n_od_pairs: int = 0
+    #: pairs to a batch of routing, 0 for one batch; trips in the compact export, 0 for all
+    route_batch: int = 0
+    max_trips: int = 0
+    #: which table of flows is exported, and whether animation tables are left out
+    flow_table: str = "sum"
+    skip_timelapse: bool = False
     max_broadcast_edges: int = 5_000_000
     # animation
     start_date: str = "2023-06-01"
@@ -40,7 +46,9 @@ class Settings:
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None) -> Settings:
-        """N_OD_PAIRS, SNAP_CAP_M, START_DATE and CLOCK_S of the environment override the defaults."""
+        """Variables of the environment (below) override the defaults."""
         env = os.environ if env is None else env
         given = {"n_od_pairs": ("N_OD_PAIRS", int), "snap_cap_m": ("SNAP_CAP_M", float), "start_date": ("START_DATE", str), "clock_s": ("CLOCK_S", int)}
+        given |= {"route_batch": ("ROUTE_BATCH_SIZE", int), "max_trips": ("MAX_TRIPS", int), "flow_table": ("FLOW_TABLE", str)}
+        given |= {"skip_timelapse": ("SKIP_TIMELAPSE", lambda v: v.strip().lower() not in ("", "0", "false", "no"))}
         return cls(**{name: kind(env[key]) for name, (key, kind) in given.items() if env.get(key)})

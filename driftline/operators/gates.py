@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -69,6 +69,12 @@ def below(flows: DataFrame, ceiling: int, column: str = "total_trips") -> bool:
     return most < ceiling
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """df with its rows counted (``rows``) by whatever action runs over it, without a pass of its own; the observation gives the count afterwards."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def timelapse(tl: DataFrame, rts: DataFrame) -> DataFrame:
     unused = rts.join(tl.select("route_id"), "route_id", "left_anti")
     return all_of(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.config import Settings
 from driftline.functions import geo
-from driftline.operators import graph, spatial
+from driftline.operators import cuts, graph, spatial
 
 
 def rideable(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -17,6 +17,11 @@ def rideable(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     return lines.withColumn("rw_type", kind).where(~F.col("rw_type").isin(*s.excluded_road_types) & ~((F.col("rw_type") == 3) & (mark == "V")))
 
 
+def identified(lines: DataFrame, *order: str) -> DataFrame:
+    """lines with an id: 1, 2, ... in the given order, which is total. Rows are numbered over ranges."""
+    return cuts.numbered(lines, "id", *order)
+
+
 def usable(lines: DataFrame, s: Settings = Settings(), geom: str = "geom_m") -> DataFrame:
     return lines.where(geo.is_line(F.col(geom), s.min_edge_m))
 

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftline.functions import geo
 from driftline.operators import clean, spatial, trips
-from driftline.operators.cuts import numbered
+from driftline.operators.cuts import folder, numbered
+from driftline.sources.readers import exists
+
+
+#: Where inputs that take work to build have been written: by application, source folder and name.
+_BUILT: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The table that build makes, written to the shared folder by the first query of an application that needs it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _BUILT or not exists(spark, f"{_BUILT[key]}/_SUCCESS"):
+        path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+        build(spark, sf_dir).write.parquet(path)
+        _BUILT[key] = path
+    return spark.read.parquet(_BUILT[key])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +62,10 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, source, target, cost, reverse_cost (closed), geom: from each vertex to its four nearest."""
+    return _once(spark, sf_dir, "edges", _edges)
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vertices(spark, sf_dir)
     a, b = v.select(F.col("id").alias("s"), F.col("geom").alias("a")), v.select(F.col("id").alias("t"), F.col("geom").alias("b"))
     near = spatial.nearest_others(v, "id", "geom", 4).select(F.col("id").alias("s"), F.col("target").alias("t"), F.round(F.sqrt("d2")).cast("long").alias("w"))
@@ -54,12 +75,16 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sid, vertex: the nearest vertex of each station."""
+    return _once(spark, sf_dir, "snapped", _snapped)
+
+
+def _snapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = spatial.nearest_point(stations(spark, sf_dir), "sid", "geom", vertices(spark, sf_dir), "id", "geom")
     return near.select("sid", F.col("target").alias("vertex"))
 
 
 def od(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.numbered(trips.od_pairs(valid_trips(spark, sf_dir)))
+    return _once(spark, sf_dir, "od", lambda spark, sf_dir: trips.numbered(trips.od_pairs(valid_trips(spark, sf_dir))))
 
 
 def combos(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,6 +79,11 @@ def compact_routes(routes: DataFrame, trips: DataFrame, meta: DataFrame, digits:
     return meta.crossJoin(r).crossJoin(t).select(F.to_json(row).alias("value"))
 
 
+def json_file(row: DataFrame, path: str) -> None:
+    """A table of one row, such as a run's metadata, as one JSON document in one file."""
+    row.coalesce(1).write.mode("overwrite").json(path)
+
+
 def written_bytes(spark, path: str) -> int:
     """Size of the files under a path."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,8 +5,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from driftline.plans import more  # noqa: F401  registers its queries
 from driftline.plans.catalogue import QUERIES
-from driftline.plans.oracle import ORACLE
+from driftline.plans.more_sql import MORE
+from driftline.plans.oracle import ORACLE as FIRST
+
+ORACLE = {**FIRST, **MORE}
 
 SF = "/root/testdata/sf0.001"
 
