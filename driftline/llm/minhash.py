@@ -135,7 +135,10 @@ def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
 def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Those pairs (a, b) whose signatures agree in AGREE of the places."""
     left, right = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long")
+    pairs = store.settle(pairs, "tried")
+    both = store.beside(pairs, left, "a", store.hottest(pairs, "a"))
+    both = store.beside(both, right, "b", store.hottest(pairs, "b"))
+    return both.select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long")
 
 
 def _near(x: np.ndarray, y: np.ndarray, band: int) -> np.ndarray:
@@ -208,8 +211,8 @@ def confirmed(likely: DataFrame, texts: DataFrame) -> DataFrame:
     """Those pairs (a, b), settled, whose full sets are similar enough. texts: rep and text, one row a class."""
     likely = store.settle(likely, "likely")
     # the members of one centre are dealt into blocks of about BLOCK; the centre's text goes to each of its blocks once
-    sizes = likely.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    members = likely.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), F.lit(1).alias("role"), F.col("b").alias("rep"))
+    sizes = store.settle(likely.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count(F.lit(1)).alias("n")), "blocks")
+    members = store.meet(likely, sizes, "a", "n").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), F.lit(1).alias("role"), F.col("b").alias("rep"))
     cores = sizes.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("role"), F.col("a").alias("rep"))
     with_text = cores.unionByName(members).join(texts, "rep").select("a", "b", "block", "role", "text")
     return store.settle(with_text.groupBy("a", "block").applyInPandas(_confirm, "a long, b long"), "confirmed")

@@ -73,6 +73,20 @@ def meet(rows: DataFrame, counted: DataFrame, key: str, count: str, how: str = "
     return rows.join(F.broadcast(hot), key).unionByName(cold)
 
 
+def hottest(rows: DataFrame, key: str) -> DataFrame | None:
+    """The keys with most rows, at most MOST_HOT of those with more than HOT, settled; None if there is none."""
+    hot = settle(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > HOT).orderBy(F.desc("_c"), key).limit(MOST_HOT).select(key), "hot")
+    return hot if hot.take(1) else None
+
+
+def beside(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """rows joined by key with a table of one bounded row a key; the table's rows of the hottest keys are broadcast."""
+    if hot is None:
+        return rows.join(table, key)
+    names = F.broadcast(hot)
+    return rows.join(F.broadcast(table.join(names, key)), key).unionByName(rows.join(names, key, "left_anti").join(table, key))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -548,3 +548,13 @@ def test_unset_folder_is_an_error_on_a_cluster(monkeypatch):
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
         with pytest.raises(ValueError, match="checkpoint"):
             s.root(session(master))
+
+
+def test_near_duplicates_with_hot_keys(odd_docs, monkeypatch):
+    """The same classes, whether keys are met by broadcast or by shuffle."""
+    from driftline.llm import store as s
+
+    want = as_set(minhash.near_duplicates(odd_docs))
+    monkeypatch.setattr(s, "HOT", 2)
+    monkeypatch.setattr(s, "MOST_HOT", 3)
+    assert as_set(minhash.near_duplicates(odd_docs)) == want
