@@ -25,14 +25,32 @@ class Tables:
     routes: DataFrame
     edge_flows: DataFrame
     variants: dict[str, DataFrame]
-    animation: DataFrame
-    meta: DataFrame
+    exported_flows: DataFrame
+    compact_trips: DataFrame
+    animation: DataFrame | None
+    meta: DataFrame | None
+
+
+def _found(edges: DataFrame, combos: DataFrame, s: Settings) -> DataFrame:
+    """Paths of all pairs, settled; in batches of od_id if ``route_batch`` is given. A pair of vertices is searched once."""
+    asked = combos.groupBy("source", "target").agg(F.min("od_id").alias("od_id"))
+    if not s.route_batch:
+        return cut(graph.paths(edges, asked, s), "paths")
+    asked, out, start = cut(asked, "asked"), None, 0
+    last = asked.agg(F.max("od_id")).first()[0] or 0
+    while start <= last:
+        part = cut(graph.paths(edges, asked.where(F.col("od_id").between(start, start + s.route_batch - 1)), s), "paths")
+        out = part if out is None else out.unionByName(part)
+        start += s.route_batch
+    return out
 
 
 def run(raw: DataFrame, areas: DataFrame, streets: DataFrame, s: Settings = Settings(), gate: bool = True) -> Tables:
     """raw: see readers.TRIP_COLUMNS; areas: name, geom; streets: id, street_name, rw_type, nonped, geom (degrees).
 
-    Every distinct pair is routed once and weighted by its trips; trips are never unfolded over edges.
+    Every distinct pair is routed once and weighted by its trips; trips are never unfolded over edges. With ``route_batch`` pairs are
+    routed in batches of od_id, each settled before the next; ``flow_table`` names the flows that are exported (those above zero), ``max_trips``
+    bounds the trips of the compact export (the first by time), ``skip_timelapse`` leaves out the animation.
     """
     valid = cut(clean.valid(clean.typed(raw), s), "trips")
     st = cut(stations_.tagged(stations_.stations(valid, s), areas), "stations")
@@ -48,12 +66,16 @@ def run(raw: DataFrame, areas: DataFrame, streets: DataFrame, s: Settings = Sett
         inside = graph.largest(graph.components(edges, "source", "target"))
         gates.at_least(inside.count(), s.min_component, "largest component")
     combos = cut(trips.combinations(pairs, snapped), "combos")
-    found = cut(graph.paths(edges, combos, s), "paths")
+    found = _found(edges, combos, s)
     routes = cut(flows.routes(found, combos, edges), "routes")
     on_edges = cut(flows.with_attributes(flows.edge_flows(found, combos), edges, ["street_name", "rw_type", "geom", "geom_m"]), "flows")
     lines = streets.select(F.col("id").alias("cl_id"), "street_name", "geom").withColumn("geom_m", geo.line_to_utm(F.col("geom")))
     assigned = cut(flows.attributed(on_edges, lines, s.snap_cap_m), "assigned")
     variants = {"sum": flows.total(assigned), "length_weighted": flows.length_weighted(assigned, lines), "max": flows.largest(assigned)}
+    exported = flows.positive(variants[s.flow_table])
+    compact = timelapse.first_trips(joined, s.max_trips)
+    if s.skip_timelapse:
+        return Tables(st, joined, pairs, edges, vertices, combos, routes, on_edges, variants, exported, compact, None, None)
     rts = cut(timelapse.routes(routes, s), "tl_routes")
     tl = cut(timelapse.clocked(joined, pairs, rts, s), "tl_trips")
-    return Tables(st, joined, pairs, edges, vertices, combos, routes, on_edges, variants, timelapse.export(tl, rts, s), timelapse.meta(joined, rts, tl, s))
+    return Tables(st, joined, pairs, edges, vertices, combos, routes, on_edges, variants, exported, compact, timelapse.export(tl, rts, s), timelapse.meta(joined, rts, tl, s))

@@ -290,3 +290,51 @@ def test_tiles(spark):
     df = spark.createDataFrame([(1, [(-74.0, 40.7), (-73.9, 40.7), (-74.0, 40.7)])], f"id long, geom {geo.LINE}")
     got = {(r.zoom, r.tx, r.ty) for r in tiles.by_tile(df, "geom", (0, 12)).collect()}
     assert got == {(0, 0, 0), (12, 1206, 1540), (12, 1207, 1540)}
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    import zipfile
+
+    from driftline.sources import readers
+
+    one = "ride_id,started_at,start_lat,member_casual\na,2023-06-01 00:00:00,40.5,member\n"
+    two = " Member_Casual ,extra,RIDE_ID\ncasual,x,b\n"
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "one.csv").write_text(one)
+    (tmp_path / "in" / "deep" / "two.csv").write_text("﻿" + two)
+    (tmp_path / "in" / "._three.csv").write_text("q\nz\n")
+    with zipfile.ZipFile(tmp_path / "all.zip", "w") as z:
+        z.writestr("one.csv", one)
+        z.writestr("two.csv", two)
+    want = [("a", "2023-06-01 00:00:00", "40.5", "member", "one.csv"), ("b", None, None, "casual", "two.csv")]
+    columns = ["ride_id", "started_at", "start_lat", "member_casual", "source_file"]
+    for got in (readers.csv_trips(spark, str(tmp_path / "in")), readers.zipped_csv(spark, str(tmp_path))):
+        assert sorted((tuple(r) for r in got.select(*columns).collect()), key=lambda r: r[0]) == want
+    with pytest.raises(FileNotFoundError):
+        readers.csv_trips(spark, str(tmp_path / "in"), "*.txt")
+
+
+def test_batches_of_routes_are_the_routes(spark):
+    from driftline.plans.pipeline import _found
+
+    edges = spark.createDataFrame([(1, 1, 2, 1.0, 1.0), (2, 2, 3, 1.0, 1.0), (3, 3, 4, 1.0, -1.0)], "id long, source long, target long, cost double, reverse_cost double")
+    combos = spark.createDataFrame([(1, 1, 3, 5), (2, 1, 4, 2), (9, 4, 1, 1), (10, 2, 3, 1), (11, 2, 3, 4)], "od_id long, source long, target long, trip_count long")
+    rows = lambda s: sorted((r.source, r.target, tuple(r.edge_ids)) for r in _found(edges, combos, s).collect())
+    assert rows(Settings(route_batch=2)) == rows(Settings()) == [(1, 3, (1, 2)), (1, 4, (1, 2, 3)), (2, 3, (2,))]
+
+
+def test_run_parameters():
+    from driftline.config import Settings
+
+    s = Settings.from_env({"ROUTE_BATCH_SIZE": "7", "MAX_TRIPS": "9", "FLOW_TABLE": "max", "SKIP_TIMELAPSE": "1"})
+    assert (s.route_batch, s.max_trips, s.flow_table, s.skip_timelapse) == (7, 9, "max", True)
+    assert not Settings.from_env({"SKIP_TIMELAPSE": "0"}).skip_timelapse
+
+
+def test_metres_and_multipolygons(spark):
+    from driftline.sources import readers
+
+    rows = spark.createDataFrame([("SRID=4326;MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0), (0.2 0.1, 0.3 0.1, 0.3 0.2, 0.2 0.1)), ((5 5, 6 5, 6 6, 5 5)))",), ("POLYGON((0 0,1 0,1 1,0 0))",), ("POINT (1 1)",), (None,)], "t string")
+    got = [r.a for r in rows.select(readers.wkt_polygons(rows["t"]).alias("a")).collect()]
+    assert [[len(r) for p in (a or []) for r in p] for a in got] == [[4, 4, 4], [4], [], []]
+    assert got[2] is None and got[3] is None and (got[0][1][0][0].x, got[0][1][0][1].x) == (5.0, 6.0)
