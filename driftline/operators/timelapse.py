@@ -12,10 +12,10 @@ from driftline.operators import cuts
 
 
 def routes(od_routes: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """route_id (1, 2, ... by od_id), od_id, geom of routes with two vertices at least, simplified."""
+    """route_id (1, 2, ... by od_id), od_id, geom of routes with two vertices at least, simplified so that none meets itself anew."""
     kept = od_routes.where("route_geom is not null").where(geo.n_points(F.col("route_geom")) >= 2)
     ids = cuts.numbered(kept.select("od_id").distinct(), "route_id", "od_id")
-    simple = kept.join(ids, "od_id").select("route_id", "od_id", codec.simplified(F.col("route_geom"), s.simplify_deg).alias("geom"))
+    simple = kept.join(ids, "od_id").select("route_id", "od_id", codec.simplified(F.col("route_geom"), s.simplify_deg, topology=True).alias("geom"))
     return simple.withColumn("geom", geo.drop_repeats(F.col("geom")))
 
 

@@ -382,12 +382,25 @@ def vertex_times(spark, sf):
     return out.select("id", "seq", F.round("t", 3).alias("t"))
 
 
+def _walks(spark, sf) -> DataFrame:
+    """walk, line: the points in order of their ids, 64 to a walk."""
+    st = fx.points(spark, sf).groupBy(F.floor(F.col("id") / 64).alias("walk")).agg(F.array_sort(F.collect_list(F.struct("id", "geom"))).alias("p"))
+    return st.select("walk", F.transform("p", lambda v: v["geom"]).alias("line"))
+
+
+def _kept(walks: DataFrame, line) -> DataFrame:
+    total = lambda axis: F.aggregate("kept", F.lit(0).cast("long"), lambda s, p: s + p[axis].cast("long"))
+    rows = walks.select("walk", F.size("line").alias("before"), line.alias("kept"))
+    return rows.select("walk", "before", F.size("kept").alias("after"), total("x").alias("sum_x"), total("y").alias("sum_y"))
+
+
 @query
 def line_simplify(spark, sf):
-    """Walks along the vertices of each station's pairs, simplified."""
-    st = fx.points(spark, sf).groupBy("label").agg(F.array_sort(F.collect_list(F.struct("id", "geom"))).alias("p"))
-    line = F.transform("p", lambda v: v["geom"])
-    rows = st.select("label", F.size("p").alias("before"), codec.simplified(line, 5000.0).alias("line"))
-    return rows.select("label", "before", F.size(geo.drop_repeats(F.col("line"))).alias("after"))
+    """Walks over the points, simplified; the sums show which points stay."""
+    return _kept(_walks(spark, sf), codec.simplified(F.col("line"), 5000.0))
 
 
+@query
+def line_simplify_safely(spark, sf):
+    """The same walks, simplified so that none meets itself anew."""
+    return _kept(_walks(spark, sf), codec.simplified(F.col("line"), 5000.0, topology=True))

@@ -151,6 +151,22 @@ select c as cluster, count(*) as members, round(avg(x), 6) as x, round(avg(y), 6
     "tl_samples": f"with {_TL}{_SAMP} select ride_id, samp from samples",
     "tl_day_window": f"with {_TL}{_SAMP} select ride_id, samp from samples where day = date '2024-01-10' and t0 between 0 and 1000 and samp < 128",
     "polyline_roundtrip": f"with {_EDGES} select id, 0 as seq, ax - 74000000 as x, ay + 40700000 as y from edges union all select id, 1, bx - 74000000, by_ + 40700000 from edges",
+    "line_simplify": f"""with recursive {_POINTS}, line as (
+  select cast(floor(id / 64) as bigint) as walk, list(struct_pack(x := x::double, y := y::double) order by id) as p from points group by 1),
+section(walk, i, j) as (
+  select walk, 1::bigint, len(p) from line
+  union all
+  select walk, e.i, e.j from (
+    select walk, unnest([struct_pack(i := i, j := k), struct_pack(i := k, j := j)]) as e from (
+      select walk, i, j, off2, k, row_number() over (partition by walk, i, j order by off2 desc, k) as place from (
+        select walk, i, j, k, (qx - t * dx)**2 + (qy - t * dy)**2 as off2 from (
+          select *, case when dx = 0 and dy = 0 then 0 else greatest(0, least(1, (qx * dx + qy * dy) / (dx * dx + dy * dy))) end as t from (
+            select walk, i, j, k, p[j].x - p[i].x as dx, p[j].y - p[i].y as dy, p[k].x - p[i].x as qx, p[k].y - p[i].y as qy
+            from (select s.walk, s.i, s.j, l.p, unnest(range(s.i + 1, s.j)) as k from section s join line l using (walk))))))
+    where place = 1 and off2 > 25000000)),
+kept as (select walk, i from section union select walk, j from section)
+select walk, cast(len(p) as int) as before, cast(count(*) as int) as after, cast(sum(p[i].x) as bigint) as sum_x, cast(sum(p[i].y) as bigint) as sum_y
+from kept join line using (walk) group by walk, len(p)""",
     "vertex_times": f"""with {_EDGES}, v as (
   select id, 0 as seq, ax / 1e6::double - 74 as x, ay / 1e6::double + 40.7 as y from edges union all select id, 1, bx / 1e6::double - 74, by_ / 1e6::double + 40.7 from edges
   union all select id, 2, -74.0::double, 40.7::double from edges),

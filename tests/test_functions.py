@@ -36,6 +36,38 @@ def test_simplify_keeps_ends_and_tolerance(points, tol):
     assert all(min(off(p, a, b) for a, b in zip(kept, kept[1:], strict=False)) <= tol + 1e-9 for p in points)
 
 
+def meeting(a, b, c, d):
+    """Whether two segments on whole numbers have a point that is not an end of both."""
+    side = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    on = lambda p, q, r: side(p, q, r) == 0 and min(p[0], q[0]) <= r[0] <= max(p[0], q[0]) and min(p[1], q[1]) <= r[1] <= max(p[1], q[1]) and r not in (p, q)
+    return side(a, b, c) * side(a, b, d) < 0 and side(c, d, a) * side(c, d, b) < 0 or on(a, b, c) or on(a, b, d) or on(c, d, a) or on(c, d, b)
+
+
+def meetings(line):
+    s = list(zip(line, line[1:], strict=False))
+    return sum(meeting(*s[i], *s[j]) for i in range(len(s)) for j in range(i))
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), min_size=1, max_size=16), st.floats(0.1, 20), st.booleans())
+def test_safe_simplify_makes_no_new_meetings(points, tol, close):
+    points = points + points[:1] if close else points
+    kept = codec.simplify_safely(points, tol)
+    rest = iter(points)
+    assert kept[0] == points[0] and kept[-1] == points[-1] and all(p in rest for p in kept)  # in order
+    if not meetings(points):
+        assert not meetings(kept)
+    if points[0] == points[-1]:
+        assert len(kept) >= min(4, len(points))
+
+
+def test_safe_simplify_keeps_what_plain_one_crosses():
+    hook = [(0, 0), (10, 3), (20, 0), (20, -10), (10, 1), (0, -10)]  # the tip of the hook reaches under the bend
+    assert not meetings(hook) and meetings(codec.simplify(hook, 3.5)) and not meetings(codec.simplify_safely(hook, 3.5))
+    assert codec.simplify_safely([], 1) == [] and codec.simplify_safely([(1, 1)], 1) == [(1, 1)]
+    assert codec.simplify_safely([(0, 0), (5, 0.1), (10, 0)], 1) == [(0, 0), (10, 0)]
+
+
 def one(spark, **cols):
     return spark.range(1).select(*(c.alias(n) for n, c in cols.items())).first()
 

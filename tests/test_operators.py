@@ -95,6 +95,23 @@ def test_both_path_forms_take_the_same_free_arcs(spark):
     assert {k: c for k, (_, _, c) in near.items()} == {(o, n): d for o in (0, 3) for n, d in brute_distances(rows, o).items() if n != o}
 
 
+def test_hot_sources_are_searched_in_blocks(spark, small_graph, monkeypatch):
+    _, df = small_graph
+    pairs = spark.createDataFrame([(a, b) for a in (0, 3, 5) for b in range(14) if a != b and (a != 5 or b < 2)], "source long, target long")
+    whole = {tuple(map(str, r)) for r in graph.paths(df, pairs).collect()}
+    monkeypatch.setattr(graph, "TARGETS", 3)
+    assert {tuple(map(str, r)) for r in graph.paths(df, pairs).collect()} == whole
+
+
+def test_relaxing_stops_at_the_targets(spark):
+    chain = spark.createDataFrame([(i, i, i + 1, 1, 1) for i in range(30)], "id long, source long, target long, cost long, reverse_cost long")
+    asked = spark.createDataFrame([(0, 2), (0, 77), (5, 3)], "source long, target long")  # 77 has no arc into it, so nobody waits for it
+    reached = graph._relaxed(graph.arcs(chain), asked.selectExpr("source as o"), asked).collect()
+    assert max(r.n for r in reached if r.o == 0) <= 3 and min(r.n for r in reached if r.o == 5) >= 2
+    got = {(r.source, r.target): r.cost for r in graph.relaxed_paths(graph.arcs(chain), asked).collect()}
+    assert got == {(0, 2): 2.0, (5, 3): 2.0}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9), (4, 7), (3, 1)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect()}
