@@ -28,8 +28,6 @@ WINDOW = 10
 SHARD = 1 << 20
 SAMPLE = 8
 BLOCK = 2_000_000
-#: Columns beside a row for what earlier blocks have found.
-SPANS, ITEMS = "__spans", "__items"
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -213,14 +211,14 @@ def _search(blocks, last):
         for b in (s for x in it for s in words.batches([x], 6 * SHARD)):
             split = [tokens(t) for t in words.blobs(b.column("text"))]
             hit, names = [], []
-            for (start, window), spans_before, items_before in zip(matches(ready, split), b.column(SPANS).to_pylist(), b.column(ITEMS).to_pylist(), strict=True):
+            for (start, window), spans_before, items_before in zip(matches(ready, split), b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
                 hit.append([y for x in _with(spans(start, ready["lengths"][window]), spans_before) for y in x])
                 names.append(sorted({x for w in np.unique(window) for x in ready["names"][w]}.union(items_before or ())))
-            found = {SPANS: pa.array(hit, pa.list_(pa.int64())), ITEMS: pa.array(names, pa.list_(pa.string()))}
+            found = pa.array(hit, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))
             if last:
-                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([len(w) for w in split], pa.int64()), *found.values()], names=["row", "n_words", "spans", "items"])
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([len(w) for w in split], pa.int64()), *found], names=["row", "n_words", "spans", "items"])
             else:
-                yield pa.RecordBatch.from_arrays([found.get(n, b.column(n)) for n in b.schema.names], schema=b.schema)
+                yield pa.RecordBatch.from_arrays([*b.columns[:-2], *found], schema=b.schema)
 
     return run
 
@@ -247,9 +245,9 @@ def _with(found: list[tuple[int, int]], before: list[int] | None) -> list[tuple[
 
 
 def _passed(rows: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, list]:
-    """rows with SPANS and ITEMS of all blocks but the last one, and that block."""
-    spark = rows.sparkSession
-    rows = rows.withColumns({SPANS: F.lit(None).cast("array<long>"), ITEMS: F.lit(None).cast("array<string>")})
+    """rows with two more columns, the spans and items of all blocks but the last one, and that block."""
+    spark, own = rows.sparkSession, "_" * (1 + max(len(c) for c in rows.columns))  # longer than any name there is
+    rows = rows.select("*", F.lit(None).cast("array<long>").alias(f"{own}spans"), F.lit(None).cast("array<string>").alias(f"{own}items"))
     blocks, path = _blocks(benchmark), None
     block = next(blocks)
     for following in blocks:
@@ -302,7 +300,7 @@ def _cut(blocks, names):
             texts = b.column(at).to_pylist()
             found = matches(ready, [tokens(t) for t in words.blobs(b.column(at))])
             keep = []
-            for i, ((start, window), before) in enumerate(zip(found, b.column(SPANS).to_pylist(), strict=True)):
+            for i, ((start, window), before) in enumerate(zip(found, b.column(b.num_columns - 2).to_pylist(), strict=True)):
                 keep.append(True)
                 gone = _with(spans(start, ready["lengths"][window]), before)
                 if gone:
@@ -315,7 +313,7 @@ def _cut(blocks, names):
                     texts[i] = "".join(left)
                     keep[-1] = word.search(texts[i].translate(lower)) is not None
             cols = {"text": lambda c: pa.array(texts, c.type), "n_chars": lambda c: pa.array([None if t is None else len(t) for t in texts], c.type)}
-            own = [cols[n](b.column(n)) if n in cols else b.column(n) for n in names]
+            own = [cols[n](c) if n in cols else c for n, c in zip(names, b.columns[:-2], strict=True)]
             yield pa.RecordBatch.from_arrays(own, names=names).filter(pa.array(keep))
 
     return run
