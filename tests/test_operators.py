@@ -232,6 +232,16 @@ def test_dropped_share_among_many(spark, met):
     assert got.after == sum(n for _, n, _, _ in want) < got.before and met.value < 100 * net.count()
 
 
+def test_length_weighting_among_many(spark, met):
+    net, cls, assigned, want = attributed_crowd(spark)
+    sums, plain = {}, {}
+    for _, n, length, k in want:
+        sums[k], plain[k] = sums.get(k, 0.0) + n * length, plain.get(k, 0) + n
+    lens = {r.cl_id: r.len for r in cls.select("cl_id", geo.length(F.col("geom_m")).alias("len")).collect()}
+    assert {tuple(r) for r in flows.length_weighted(assigned, cls).collect()} == {(k, round(v / lens[k]) if lens[k] > 0 else plain[k]) for k, v in sums.items()}
+    assert met.value < 100 * net.count()
+
+
 def test_half_even_weighting(spark):
     a = spark.createDataFrame([(1, 7, 5, [(0.0, 0.0), (1.0, 0.0)]), (2, 8, 1, [(0.0, 0.0), (1.0, 0.0)])], f"id long, cl_id long, total_trips long, geom_m {geo.LINE}")
     c = spark.createDataFrame([(7, [(0.0, 0.0), (2.0, 0.0)]), (8, [(1.0, 1.0), (1.0, 1.0)])], f"cl_id long, geom_m {geo.LINE}")
