@@ -242,6 +242,15 @@ def test_length_weighting_among_many(spark, met):
     assert met.value < 100 * net.count()
 
 
+def test_largest_flow_among_many(spark, met):
+    net, _, assigned, want = attributed_crowd(spark)
+    most = {}
+    for _, n, _, k in want:
+        most[k] = max(n, most.get(k, 0))
+    assert {tuple(r) for r in flows.largest(assigned).collect()} == set(most.items())
+    assert met.value < 100 * net.count()
+
+
 def test_half_even_weighting(spark):
     a = spark.createDataFrame([(1, 7, 5, [(0.0, 0.0), (1.0, 0.0)]), (2, 8, 1, [(0.0, 0.0), (1.0, 0.0)])], f"id long, cl_id long, total_trips long, geom_m {geo.LINE}")
     c = spark.createDataFrame([(7, [(0.0, 0.0), (2.0, 0.0)]), (8, [(1.0, 1.0), (1.0, 1.0)])], f"cl_id long, geom_m {geo.LINE}")
